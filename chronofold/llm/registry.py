@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from chronofold.llm import bpe
+from chronofold.llm import bpe, toxicity
+from chronofold.llm.labelled import crc_mod
 
 #: Where the public vocabularies lie; a parameter of the operator.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
@@ -16,6 +18,17 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"), VOCABULARY, with_ids=False)
 
 
+def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.where(crc_mod("doc_id", 4) != 2))
+    held_out, predicted = (crc_mod("doc_id", 4) == 2).alias("held_out"), (F.col("score") >= 0.3).cast("int").alias("predicted")
+    return toxicity.score(docs, model).select("doc_id", held_out, "score", predicted)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -23,7 +36,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe,)}
+    return {f.__name__: f for f in (op1_bpe, op8_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
