@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronofold.llm import bpe, toxicity
+from chronofold.llm import bpe, langid, toxicity
 from chronofold.llm.labelled import crc_mod
 
 #: Where the public vocabularies lie; a parameter of the operator.
@@ -22,6 +22,12 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    model = langid.train(docs.where(crc_mod("doc_id", 4) != 2))
+    return langid.predict(docs, model).select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
     model = toxicity.train(docs, labels.where(crc_mod("doc_id", 4) != 2))
@@ -36,7 +42,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op8_toxicity)}
+    return {f.__name__: f for f in (op1_bpe, op2_langid, op8_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
