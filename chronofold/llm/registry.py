@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronofold.llm import bpe, langid, toxicity
+from chronofold.llm import bpe, decontamination, langid, toxicity
 from chronofold.llm.labelled import crc_mod
 
 #: Where the public vocabularies lie; a parameter of the operator.
@@ -35,6 +35,10 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", held_out, "score", predicted)
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.report(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -42,7 +46,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op2_langid, op8_toxicity)}
+    return {f.__name__: f for f in (op1_bpe, op2_langid, op8_toxicity, op9_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
