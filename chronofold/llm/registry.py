@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronofold.llm import bpe, decontamination, langid, toxicity
+from chronofold.llm import bpe, decontamination, langid, quality, toxicity
 from chronofold.llm.labelled import crc_mod
 
 #: Where the public vocabularies lie; a parameter of the operator.
@@ -28,6 +28,13 @@ def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
+    model = quality.train(docs, labels.where(crc_mod("doc_id", 3) != 1))
+    held_out, predicted = (crc_mod("doc_id", 3) == 1).alias("held_out"), (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return quality.score(docs, model).select("doc_id", held_out, "score", predicted)
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
     model = toxicity.train(docs, labels.where(crc_mod("doc_id", 4) != 2))
@@ -46,7 +53,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op2_langid, op8_toxicity, op9_decontamination)}
+    return {f.__name__: f for f in (op1_bpe, op2_langid, op3_quality, op8_toxicity, op9_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
