@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronofold.llm import bpe, decontamination, langid, quality, toxicity
+from chronofold.llm import bpe, decontamination, langid, quality, toxicity, warc
 from chronofold.llm.labelled import crc_mod
+from chronofold.llm.session import shared_dir
 
 #: Where the public vocabularies lie; a parameter of the operator.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
@@ -35,6 +36,12 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model).select("doc_id", held_out, "score", predicted)
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_dir(spark, "warc")
+    warc.write(_read(spark, sf_dir, "pages"), path)
+    return warc.read(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
     model = toxicity.train(docs, labels.where(crc_mod("doc_id", 4) != 2))
@@ -53,7 +60,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op2_langid, op3_quality, op8_toxicity, op9_decontamination)}
+    return {f.__name__: f for f in (op1_bpe, op2_langid, op3_quality, op4_warc, op8_toxicity, op9_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
