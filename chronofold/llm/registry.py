@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronofold.llm import bpe, decontamination, langid, quality, topk, toxicity, warc
+from chronofold.llm import bpe, decontamination, langid, pii, quality, topk, toxicity, warc
 from chronofold.llm.labelled import crc_mod
 from chronofold.llm.session import shared_dir
 
@@ -42,6 +42,15 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+#: The key of the pseudonyms; a production job passes its own secret.
+PII_KEY = "chronofold"
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise(docs, PII_KEY)
+
+
 def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -64,7 +73,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op2_langid, op3_quality, op4_warc, op7_topk, op8_toxicity, op9_decontamination)}
+    return {f.__name__: f for f in (op1_bpe, op2_langid, op3_quality, op4_warc, op5_pii, op7_topk, op8_toxicity, op9_decontamination)}
 
 
 #: DuckDB twins of the queries that SQL can express.
