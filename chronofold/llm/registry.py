@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronofold.llm import bpe, decontamination, langid, pii, quality, topk, toxicity, warc
+from chronofold.llm import bpe, decontamination, langid, pii, quality, substrings, topk, toxicity, warc
 from chronofold.llm.labelled import crc_mod
 from chronofold.llm.session import shared_dir
 
@@ -51,6 +51,10 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(docs, PII_KEY)
 
 
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.deduplicate(_read(spark, sf_dir, "documents"), with_text=False)
+
+
 def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -73,7 +77,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op2_langid, op3_quality, op4_warc, op5_pii, op7_topk, op8_toxicity, op9_decontamination)}
+    return {f.__name__: f for f in (op1_bpe, op2_langid, op3_quality, op4_warc, op5_pii, op6_substrings, op7_topk, op8_toxicity, op9_decontamination)}
 
 
 #: DuckDB twins of the queries that SQL can express.
