@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronofold.llm import bpe, decontamination, langid, pii, quality, substrings, topk, toxicity, warc
+from chronofold.llm import bpe, decontamination, jaccard, langid, pii, quality, substrings, topk, toxicity, warc
 from chronofold.llm.labelled import crc_mod
 from chronofold.llm.session import shared_dir
 
@@ -70,6 +70,10 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.report(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.group(_read(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -77,7 +81,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op2_langid, op3_quality, op4_warc, op5_pii, op6_substrings, op7_topk, op8_toxicity, op9_decontamination)}
+    return {f.__name__: f for f in (op1_bpe, op2_langid, op3_quality, op4_warc, op5_pii, op6_substrings, op7_topk, op8_toxicity, op9_decontamination, op10_jaccard)}
 
 
 #: DuckDB twins of the queries that SQL can express.
