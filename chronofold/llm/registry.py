@@ -81,7 +81,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op2_langid, op3_quality, op4_warc, op5_pii, op6_substrings, op7_topk, op8_toxicity, op9_decontamination, op10_jaccard)}
+    return {f.__name__: f for f in (op1_bpe, op2_langid, op3_quality, op4_warc, op5_pii, op6_substrings, op7_topk, op8_toxicity, op9_decontamination, op10_jaccard, pipeline)}
 
 
 #: DuckDB twins of the queries that SQL can express.

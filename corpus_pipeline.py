@@ -1,6 +1,61 @@
-"""The corpus pipeline: quality, near duplicates, decontamination, private data, tokens."""
+"""The corpus pipeline: documents in, tokens out.
+
+STAGES lists (name, function) pairs; a function takes (spark, docs, sf_dir) and returns a DataFrame, which is written as
+Parquet and read again as the next one's docs. All but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+
+from chronofold.llm import bpe, decontamination, jaccard, pii, quality
+from chronofold.llm.labelled import crc_mod
+from chronofold.llm.registry import PII_KEY, VOCABULARY
+from chronofold.llm.session import shared_dir
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rule ensemble rejects go; it learns from the labelled two thirds of the rows."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.keep_good(docs, quality.train(docs, labels.where(crc_mod("doc_id", 3) != 1)))
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the smallest id stays."""
+    return jaccard.keep_first(docs)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark passages are cut out; a document that is mostly such passages goes."""
+    return decontamination.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def pseudonymised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Private data get keyed pseudonyms of their own format."""
+    return pii.pseudonymise(docs, PII_KEY, count_col=None, size_col="n_chars")
+
+
+def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids, and digests of them and of what they decode to."""
+    return bpe.encode_documents(docs, VOCABULARY)
+
+
+STAGES = [
+    ("quality classifier", good_quality),
+    ("n-gram Jaccard join", one_of_each_group),
+    ("benchmark decontamination", decontaminated),
+    ("PII", pseudonymised),
+    ("BPE encoding and decoding", tokenised),
+]
+#: SQL cannot express the classifier's fit; tests compare the stages with brute force.
 ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Apply all stages to the documents of sf_dir."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for at, (_, stage) in enumerate(STAGES):
+        path = shared_dir(spark, f"stage{at}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs
