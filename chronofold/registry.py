@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from chronofold.plans import catalogue, point_in_time  # noqa: F401
+
 
 def queries() -> dict:
-    return {}
+    return dict(catalogue.QUERIES)
 
 
 def oracle_sql() -> dict:
-    return {}
+    return dict(catalogue.ORACLES)
