@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from chronofold.plans import catalogue, data_quality, point_in_time  # noqa: F401
+from chronofold.plans import backtests, catalogue, data_quality, point_in_time  # noqa: F401
 
 
 def queries() -> dict:
