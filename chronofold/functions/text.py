@@ -9,6 +9,7 @@ from datetime import date, timedelta
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Persian and Arabic-Indic digits, and the letters that are written as one.
 PERSIAN_DIGITS, ARABIC_DIGITS, DIGITS = "۰۱۲۳۴۵۶۷۸۹", "٠١٢٣٤٥٦٧٨٩", "0123456789"
@@ -21,7 +22,7 @@ def normalize_digits(c: Column) -> Column:
     return F.translate(c, PERSIAN_DIGITS + ARABIC_DIGITS, DIGITS + DIGITS)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfkc(s: pd.Series) -> pd.Series:
     """Compatibility composition; Spark has no built-in for it."""
     return s.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x), na_action="ignore")
