@@ -2,16 +2,16 @@
 
 A text's set is its distinct shingles of WIDTH words. Sets of size a <= b can only reach the similarity if
 a >= 0.75 b, and then differ in at most (a + b) / 7 elements. Sizes are cut into bands; a band's sets, together with
-the sets a little larger that they may link with, share one partition of the element domain into n parts, more than
-the k elements they may differ in. So two linked sets agree on at least n - k parts. The subset of a set that falls
-into one part is a signature, a hash; a set with v parts that are not empty agrees with any partner on at least v - k
-of those. Signatures are therefore counted first, and each set keeps, of those that another set has too, all but its
+the sets a little larger that they may link with, share one partition of the element domain into n parts. A set that
+may differ from its partners in k elements agrees with each on all but k parts. The subset of a set that falls into
+one part is a signature, a hash; a set with v parts that are not empty agrees with any partner on at least v - k of
+those. There are more parts than elements, so that what unrelated texts have in common rarely makes up v - k of them. Signatures are therefore counted first, and each set keeps, of those that another set has too, all but its
 v - k - 1 most frequent ones: two linked sets still share one, and what many unrelated texts have in common drops out.
 A set with v <= k also signs its empty parts and keeps all.
 
-Sets that share a kept signature meet in rounds: every group's members are verified against one pivot, links are
-joined to components, and only groups that still hold several components go on, with another pivot; what is left after
-ROUNDS is verified pair by pair across components. Verification counts the sets' intersection exactly. Texts with equal
+Sets that share a kept signature form a group. Each group's members are verified against its first one, and links are
+joined to components; in groups that still hold several components all members are compared in blocks, without a row
+per pair. Every verification counts the intersection exactly. Texts with equal
 sets are one node throughout (a 64-bit hash of the set), so copies cost nothing.
 
 Defined results: a null text or one without words has an empty set, is linked with nothing and its own component; a
@@ -34,22 +34,29 @@ from chronofold.llm.components import components
 from chronofold.llm.session import bounded_batches, store
 
 WIDTH, NUMERATOR, DENOMINATOR = 5, 3, 4
-ROUNDS = 3
+#: Bytes of sets in a block that is compared with others, pairs of it and occurrences that are looked at at once.
+BLOCK_BYTES, COMPARED, OCCURRENCES = 1 << 20, 1 << 18, 1 << 22
+#: Parts beyond the largest size of a band, so that what many texts share lies in parts of its own.
+SPARE = 30
 #: Sets of one batch that share a signature make it one of the most frequent everywhere, without counting on.
 HOT = 64
 HOT_COUNT = (1 << 16) - 1
 
 
 @lru_cache(maxsize=4096)
-def band(j: int) -> tuple[int, int, int, int]:
-    """Of band j: smallest and largest size of the smaller set, differing elements k, parts n."""
+def band(j: int) -> tuple[int, int, int]:
+    """Of band j: smallest and largest size of the smaller set, and the number of parts."""
     low = 1
     for _ in range(j):
         low = max(low + 1, low * DENOMINATOR // NUMERATOR)
     top = max(low + 1, low * DENOMINATOR // NUMERATOR) - 1
-    k = (top + top * DENOMINATOR // NUMERATOR) * (DENOMINATOR - NUMERATOR) // (DENOMINATOR + NUMERATOR)
-    n = 2 * top if top <= 30 else k + 1 + (k + 2) // 2
-    return low, top, k, n
+    return low, top, top + min(top, SPARE)
+
+
+def most_different(size: int, top: int) -> int:
+    """In how many elements a set may differ from any it links with in a band whose smaller sets have up to top elements."""
+    partner = top if size > top else size * DENOMINATOR // NUMERATOR
+    return (size + partner) * (DENOMINATOR - NUMERATOR) // (DENOMINATOR + NUMERATOR)
 
 
 @lru_cache(maxsize=1 << 16)
@@ -100,8 +107,8 @@ def signatures(size: np.ndarray, text: np.ndarray, value: np.ndarray) -> tuple[n
     if not jobs:
         return np.empty(0, np.int64), np.empty(0, np.uint64), []
     who, which = np.array([d for d, _ in jobs]), np.array([j for _, j in jobs])
-    parts = np.array([band(j)[3] for _, j in jobs])
-    differ = np.array([band(j)[2] for _, j in jobs])
+    parts = np.array([band(j)[2] for _, j in jobs])
+    differ = np.array([most_different(int(size[d]), band(j)[1]) for d, j in jobs])
     base = np.concatenate([[0], np.cumsum(parts)])
     reach = size[who]
     job = np.repeat(np.arange(len(jobs)), reach)
@@ -278,32 +285,70 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tup
     sets = slim.join(ids, "doc_id", "left_semi").select("text").mapInArrow(_sets, "node bigint, set binary")
     sets = store(sets.groupBy("node").agg(F.first("set").alias("set")), "sets")
     edges = store(_linked(pairs, sets), "edges")
-    done = [pairs]
     labels = components(edges)
-    for turn in range(ROUNDS + 1):
-        named = members.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
-        pivot = F.min_by(F.struct("node", "label"), F.xxhash64("node", F.lit(turn)))
-        open_ = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), pivot.alias("pivot")).where("lo < hi")
-        named = store(named.join(open_.select("key", "pivot"), "key"), "open")
-        if named.isEmpty():
-            break
-        if turn < ROUNDS:
-            fresh = named.where(F.col("pivot.label") != F.col("label")).select(F.col("pivot.node").alias("x"), F.col("node").alias("y"))
-        else:
-            other = named.select("key", F.col("node").alias("y"), F.col("label").alias("other"))
-            fresh = named.select("key", F.col("node").alias("x"), "label").join(other, "key").where("label < other").select("x", "y")
-        fresh = fresh.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        for old in done:
-            fresh = fresh.join(old, ["a", "b"], "left_anti")
-        fresh = store(fresh, "pairs")
-        done.append(fresh)
-        more = store(_linked(fresh, sets), "edges")
-        members = named.select("key", "node")
-        if more.isEmpty():
-            continue
-        edges = edges.unionByName(more)
-        labels = components(edges)
-    return profile, labels
+    named = members.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
+    several = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
+    named = store(named.join(several, "key"), "open")
+    if named.isEmpty():
+        return profile, labels
+    return profile, components(edges.unionByName(store(_across(named, sets), "across")))
+
+
+def _across(named: DataFrame, sets: DataFrame) -> DataFrame:
+    """u, v: links between components within the groups (key, node, label), at least one for each two components that a
+    group's members link.
+
+    Groups overlap: each goes with its member that is in most groups, and groups that go with one member are compared
+    as one. Its members are dealt to blocks of BLOCK_BYTES of sets, and every two blocks are compared in one task,
+    which counts intersections from an inverted list and gives out links only, no pairs."""
+    often = named.groupBy("node").agg(F.count(F.lit(1)).alias("keys"))
+    lead = named.join(often, "node").groupBy("key").agg(F.max(F.struct("keys", "node"))["node"].alias("lead"))
+    together = named.join(lead, "key").select("lead", "node", "label").distinct()
+    held = together.join(sets, "node")
+    weight = held.groupBy("lead").agg(F.ceil(F.sum(F.octet_length("set")) / BLOCK_BYTES).cast("int").alias("blocks"))
+    held = held.join(weight, "lead").withColumn("block", F.pmod(F.xxhash64("node", F.lit(29)), "blocks").cast("int"))
+    dealt = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("lead", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "label", "set")
+    return dealt.groupBy("lead", "i", "j").applyInArrow(_compare, "u bigint, v bigint")
+
+
+def _compare(table: pa.Table) -> pa.Table:
+    node, label, block = (table[c].to_numpy() for c in ("node", "label", "block"))
+    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table["set"]]
+    i = table["i"][0].as_py()
+    left = np.flatnonzero(block == i)
+    right = left if i == table["j"][0].as_py() else np.flatnonzero(block != i)
+    u, v = [], []
+    if left.size and right.size:
+        size = np.array([x.size for x in sets], np.int64)
+        value, owner = np.concatenate([sets[k] for k in left]), np.repeat(np.arange(left.size), size[left])
+        order = np.argsort(value, kind="stable")
+        value, owner = value[order], owner[order]
+        step = max(1, COMPARED // max(1, left.size))
+        for at in range(0, right.size, step):
+            part = right[at : at + step]
+            asked, asker = np.concatenate([sets[k] for k in part]), np.repeat(np.arange(part.size), size[part])
+            lo, hi = np.searchsorted(value, asked, "left"), np.searchsorted(value, asked, "right")
+            n = hi - lo
+            both = np.zeros(part.size * left.size, np.int64)
+            ends = np.cumsum(n)
+            begin = 0
+            while begin < n.size:  # so many occurrences at once
+                end = max(begin + 1, int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + OCCURRENCES, "right")))
+                k = n[begin:end]
+                hit = owner[np.repeat(lo[begin:end] - (np.cumsum(k) - k), k) + np.arange(k.sum())]
+                both += np.bincount(np.repeat(asker[begin:end], k) * left.size + hit, minlength=both.size)
+                begin = end
+            both = both.reshape(part.size, left.size)
+            union = size[part][:, None] + size[left][None, :] - both
+            x, y = np.nonzero((DENOMINATOR * both >= NUMERATOR * union) & (label[part][:, None] != label[left][None, :]))
+            a, b = part[x], left[y]
+            pair = np.stack([np.minimum(label[a], label[b]), np.maximum(label[a], label[b])])
+            once = np.unique(pair, axis=1, return_index=True)[1]
+            u.append(node[a[once]])
+            v.append(node[b[once]])
+    u, v = (np.concatenate(z) if z else np.empty(0, np.int64) for z in (u, v))
+    return pa.table([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
 
 def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

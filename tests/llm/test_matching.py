@@ -119,9 +119,10 @@ def near_copies(n, seed=3):
     return docs
 
 
-@pytest.mark.parametrize("rounds", [3, 0])
-def test_jaccard_groups(spark, monkeypatch, rounds):
-    monkeypatch.setattr(jaccard, "ROUNDS", rounds)
+@pytest.mark.parametrize("block", [1 << 20, 2000])
+def test_jaccard_groups(spark, monkeypatch, block):
+    monkeypatch.setattr(jaccard, "BLOCK_BYTES", block)
+    monkeypatch.setattr(jaccard, "OCCURRENCES", 500)
     monkeypatch.setattr(jaccard, "HOT", 12)
     docs = near_copies(350)
     df = spark.createDataFrame([(*d, 0) for d in docs], "doc_id long, text string, node int").repartition(5)
