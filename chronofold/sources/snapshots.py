@@ -9,6 +9,7 @@ import hashlib
 import json
 import os
 import shutil
+from datetime import datetime
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -94,7 +95,7 @@ class SnapshotStore:
                 stats = self._write(rows, staging / f"{number:04d}-{canonical.sha256(c.key.encode())}.jsonl")
                 if not stats["row_count"] and not c.allow_empty:
                     raise ContractError(f"component {c.key} is empty")
-                components.append({"component_key": c.key, "bar_series_id": c.bar_series_id, **stats})
+                components.append({"component_key": c.key, "bar_series_id": c.bar_series_id, "event_from": c.event_from, "event_to": c.event_to, **stats})
             manifest = {"schema_version": 1, "snapshot_code": request.code, "cutoff": request.cutoff, "mode": request.mode, "specification": wanted, "components": components}
             (staging / "manifest.json").write_bytes(canonical.snapshot_bytes(manifest))
             os.rename(staging, target)
@@ -137,9 +138,8 @@ class SnapshotStore:
         if bars is not None and not wrong:
             for c in manifest["components"]:
                 live = hashlib.sha256()
-                cutoff = manifest["cutoff"].rstrip("Z")
-                rows = bars.where(F.col("bar_series_id") == c["bar_series_id"])
-                rows = pit.knowable(rows, manifest["mode"], F.lit(cutoff).cast("timestamp_ntz")).withColumn("effective_available_at", F.col(pit.clock(manifest["mode"])))
+                times = [datetime.fromisoformat(t).replace(tzinfo=None) for t in (c["event_from"], c["event_to"], manifest["cutoff"])]
+                rows = pit.eligible_revisions(bars, [c["bar_series_id"]], *times, manifest["mode"])
                 for r in lines(rows).toLocalIterator():
                     live.update(r["line"].encode() + b"\n")
                 if live.hexdigest() != c["sha256"]:
@@ -151,7 +151,7 @@ def load(spark: SparkSession, path: str, expected_series: int | None = None) ->
     """Bars of a component file: the fields that a backtest needs, prices exact, timestamps UTC. Bad rows are errors."""
     schema = "bar_open_ts string, bar_series_id bigint, revision_no bigint, available_at string, system_available_at string, effective_available_at string, close_price string"
     raw = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
-    times = [F.to_timestamp_ntz(F.rtrim(F.lit("Z"), F.col(c)), F.lit("yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]")).alias(c) for c in ("bar_open_ts", "available_at", "system_available_at", "effective_available_at")]
+    times = [F.to_timestamp_ntz(F.rtrim(F.col(c), F.lit("Z")), F.lit("yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]")).alias(c) for c in ("bar_open_ts", "available_at", "system_available_at", "effective_available_at")]
     ok = (F.col("revision_no") >= 1) & F.col("close_price").rlike(r"^-?\d+(\.\d+)?$")
     if expected_series is not None:
         ok = ok & (F.col("bar_series_id") == expected_series)
