@@ -23,7 +23,6 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = f"file://{tempfile.gettempdir()}/chronofold-shared"
-        spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
