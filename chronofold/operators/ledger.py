@@ -50,3 +50,14 @@ def drawdown(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: st
     """How far value lies below its highest so far."""
     by = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return df.withColumn("peak", F.max(value).over(by)).withColumn("drawdown", F.col("peak") - F.col(value))
+
+
+def performance(df: DataFrame, keys: Sequence[str], ret: str, periods: int = 252) -> DataFrame:
+    """Mean, volatility, Sharpe and Sortino ratios of period returns, annualised; null where they are undefined.
+
+    An extension: run summaries leave these columns empty."""
+    down = F.sqrt(F.avg(F.pow(F.when(F.col(ret) < 0, F.col(ret)).when(F.col(ret) >= 0, 0.0), 2)))
+    out = df.groupBy(*keys).agg(F.count(ret).alias("n"), F.avg(ret).alias("mean"), F.stddev_samp(ret).alias("sd"), down.alias("down"))
+    year = F.sqrt(F.lit(float(periods)))
+    ratio = lambda d: F.when(F.col(d) > 0, F.col("mean") / F.col(d) * year)
+    return out.select(*keys, "n", (F.col("sd") * year).alias("volatility"), ratio("sd").alias("sharpe"), ratio("down").alias("sortino"))

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from chronofold.functions import canonical, text
-from chronofold.operators import ingest, integrity, ledger, ml, pit
+from chronofold.operators import catalog, ingest, integrity, ledger, ml, pit
 from chronofold.plans.catalogue import query
 from chronofold.plans.point_in_time import CUTOFF, SQL_CUTOFF
 from chronofold.plans.views import BARS, FILLS, bars, day_of, fills, money, sql_ts, table, text_ts
@@ -437,3 +437,43 @@ def symbol_normalize(spark, d):
 def record_key(spark, d):
     day = F.when(F.col("event_type") != "error", F.date_format("ts", "yyyy-MM-dd"))
     return table(spark, d, "events").select("event_id", text.record_key(F.concat(F.lit("s"), F.col("user_id").cast("string")), day).alias("record_key"))
+
+
+CATALOG = """ids AS (SELECT 'ISIN' AS kind, 'I' || c_custkey AS v, c_custkey AS instrument_id FROM customer WHERE c_custkey % 4 <> 0 UNION ALL SELECT 'SYMBOL', 'S' || c_custkey, CASE WHEN c_custkey % 7 = 0 THEN c_custkey + 1 ELSE c_custkey END FROM customer WHERE c_custkey % 5 <> 0),
+    entries AS (SELECT c_custkey, 'I' || c_custkey AS isin, 'S' || c_custkey AS symbol, CASE WHEN c_custkey % 3 = 0 THEN 'P' END AS previous FROM customer)"""
+
+
+@query("instrument_identity", f"""WITH {CATALOG} SELECT e.c_custkey, CASE WHEN i.instrument_id IS NULL AND s.instrument_id IS NULL THEN 'CREATE' WHEN i.instrument_id IS NULL THEN 'SYMBOL_WITHOUT_ISIN' WHEN s.instrument_id <> i.instrument_id THEN 'TWO_INSTRUMENTS'
+    WHEN s.instrument_id IS NOT NULL THEN 'KNOWN' WHEN previous IS NULL THEN 'RENAME_NOT_ANNOUNCED' ELSE 'RENAME' END AS outcome FROM entries e LEFT JOIN ids i ON i.kind = 'ISIN' AND i.v = e.isin LEFT JOIN ids s ON s.kind = 'SYMBOL' AND s.v = e.symbol""")
+def instrument_identity(spark, d):
+    c = table(spark, d, "customer").select("c_custkey")
+    text_of = lambda p: F.concat(F.lit(p), F.col("c_custkey").cast("string"))
+    no_end = F.lit(None).cast("timestamp_ntz").alias("valid_to")
+    since = F.lit("2020-01-01").cast("timestamp_ntz").alias("valid_from")
+    key = F.col("c_custkey")
+    isins = c.where("c_custkey % 4 <> 0").select(F.lit("ISIN").alias("identifier_type"), text_of("I").alias("identifier_value"), key.alias("instrument_id"), since, no_end)
+    symbols = c.where("c_custkey % 5 <> 0").select(F.lit("SYMBOL").alias("identifier_type"), text_of("S").alias("identifier_value"), F.when(key % 7 == 0, key + 1).otherwise(key).alias("instrument_id"), since, no_end)
+    entries = c.select("c_custkey", text_of("I").alias("isin"), text_of("S").alias("symbol"), F.when(key % 3 == 0, "P").alias("previous_symbol"), F.lit("2024-01-01").cast("timestamp_ntz").alias("valid_from"))
+    return catalog.identity_outcomes(entries, isins.unionByName(symbols)).select("c_custkey", "outcome")
+
+
+@query("symbol_cross_validation", """WITH m AS (SELECT c_custkey, CASE WHEN c_custkey % 11 = 0 THEN 'X' ELSE c_name END AS symbol, c_mktsegment AS isin, CASE WHEN c_custkey % 13 = 0 THEN -1 ELSE c_nationkey END AS venue, c_name FROM customer WHERE c_custkey % 6 <> 0)
+    SELECT c.c_custkey AS stable_key, CASE WHEN m.symbol IS NULL THEN 'NO_METADATA' WHEN m.symbol <> c.c_name THEN 'SYMBOL_MISMATCH' WHEN c.c_custkey % 17 = 0 THEN 'ISIN_MISMATCH' ELSE 'MARKET_MISMATCH' END AS mismatch FROM customer c LEFT JOIN m USING (c_name)
+    WHERE m.symbol IS NULL OR m.symbol <> c.c_name OR c.c_custkey % 17 = 0 OR m.venue <> c.c_nationkey""")
+def symbol_cross_validation(spark, d):
+    c, key = table(spark, d, "customer"), F.col("c_custkey")
+    entries = c.select(key.alias("stable_key"), F.col("c_name").alias("symbol"), F.when(key % 17 == 0, "other").otherwise(F.col("c_mktsegment")).alias("isin"), F.col("c_nationkey").alias("venue"))
+    metadata = c.where("c_custkey % 6 <> 0").select(F.col("c_name").alias("requested_symbol"), F.when(key % 11 == 0, "X").otherwise(F.col("c_name")).alias("symbol"), F.col("c_mktsegment").alias("isin"), F.when(key % 13 == 0, -1).otherwise(F.col("c_nationkey")).alias("venue"))
+    return catalog.provider_mismatches(entries, metadata)
+
+
+@query("performance_ratios", f"""WITH {BARS}, c AS (SELECT bar_series_id, bar_open_ts, CAST(close_price AS DOUBLE) AS p FROM bars WHERE revision_no = 1), r AS (SELECT bar_series_id, (p - lag(p) OVER w) / nullif(lag(p) OVER w, 0) AS r FROM c WINDOW w AS (PARTITION BY bar_series_id ORDER BY bar_open_ts)),
+    a AS (SELECT bar_series_id, count(r) AS n, avg(r) AS m, stddev_samp(r) AS sd, sqrt(avg(pow(CASE WHEN r < 0 THEN r WHEN r >= 0 THEN 0 END, 2))) AS down FROM r GROUP BY bar_series_id)
+    SELECT bar_series_id, n, round(sd * sqrt(252), 6) AS volatility, round(CASE WHEN sd > 0 THEN m / sd * sqrt(252) END, 6) AS sharpe, round(CASE WHEN down > 0 THEN m / down * sqrt(252) END, 6) AS sortino FROM a""")
+def performance_ratios(spark, d):
+    by = Window.partitionBy("bar_series_id").orderBy("bar_open_ts")
+    p = F.col("close_price").cast("double")
+    before = F.lag(p).over(by)
+    r = bars(spark, d).where("revision_no = 1").select("bar_series_id", F.when(before != 0, (p - before) / before).alias("r"))
+    out = ledger.performance(r, ["bar_series_id"], "r")
+    return out.select("bar_series_id", "n", *[F.round(c, 6).alias(c) for c in ("volatility", "sharpe", "sortino")])
