@@ -175,4 +175,7 @@ def keep_good(docs: DataFrame, model: Model, threshold: float = 0.5, text_col: s
     """The rows of docs, all their columns, that score threshold or more."""
     names = docs.columns
     slim = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), F.col(text_col).alias("_text"))
-    return statistics(slim, "_text", ("_row",)).where(model.column() >= threshold).select(*[F.col(f"_row.`{c}`").alias(c) for c in names])
+    judged = statistics(slim, "_text", ("_row",)).select("_row", (model.column() >= threshold).alias("_good"))
+    # a filter would be pushed below the statistics, which every rule would then compute anew
+    kept = judged.select(F.explode(F.when(F.col("_good"), F.array("_row"))).alias("_row"))
+    return kept.select(*[F.col(f"_row.`{c}`").alias(c) for c in names])
