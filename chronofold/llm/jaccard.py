@@ -363,5 +363,5 @@ def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs, all their columns, whose id is the smallest of their group."""
-    kept = group(docs, id_col, text_col).where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(store(kept, "kept"), F.col(id_col) == F.col("_kept"), "left_semi")
+    kept = group(docs, id_col, text_col).where("doc_id = component_id").select(F.col("doc_id").alias(id_col)).distinct()
+    return docs.join(store(kept, "kept"), id_col, "left_semi").select(*docs.columns)

@@ -11,7 +11,8 @@ whatever its separators.
 Text is cut at the matches and joined again with their pseudonyms, so the work is linear in its length. No shuffle.
 
 Defined results: a null text stays null with 0 replaced, an empty one stays empty; what fails validation stays; dates
-outside 1700 to 2099 stay; repeated rows get a row each; other columns are kept.
+outside 1700 to 2099 stay; repeated rows get a row each; other columns are kept, but for one that is named like the
+count, which the count replaces; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -210,6 +211,8 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", count_col: s
     n = F.size(F.filter(F.zip_with("_found", "_new", lambda a, b: a != b), lambda x: x)).cast("bigint")
     out = []
     for field in docs.schema.fields:
+        if field.name == count_col:
+            continue
         c = F.col(f"_row.`{field.name}`")
         if field.name == text_col:
             c = F.col("_out")

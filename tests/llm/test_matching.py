@@ -247,6 +247,13 @@ def test_private_data(spark):
     assert int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1 and "WEST" in iban and "DE00" in got[5]
 
 
+def test_private_data_with_clashing_names(spark):
+    df = spark.createDataFrame([("a@b.example", "x", 2)], "text string, n_replaced string, _out int")
+    out = pii.pseudonymise(df, "k")
+    assert out.columns == ["text", "_out", "n_replaced"] and out.first().n_replaced == 1
+    assert pii.pseudonymise(df.limit(0), "k").count() == 0
+
+
 def test_feistel_is_a_permutation(spark):
     df = spark.range(898 * 3).select((F.col("id") % 898).alias("a"), F.floor(F.col("id") / 898).alias("b"))
     s = df.select(pii.feistel("k", "t", F.col("a"), F.col("b"), F.lit(898), F.lit(3)).alias("s"))
