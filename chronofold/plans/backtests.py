@@ -1,4 +1,4 @@
-"""Backtest queries: a sweep of windows over all users' bars."""
+"""Backtest queries: a sweep of windows over all users' bars, one run for each user and pair of windows."""
 
 from __future__ import annotations
 
@@ -9,18 +9,15 @@ from pyspark.sql import functions as F
 
 from chronofold.operators import backtest
 from chronofold.plans.catalogue import query
-from chronofold.plans.views import bars, table
+from chronofold.plans.views import bars
 
 
 def _journal(spark, d):
     utc = timezone.utc
-    users = [r[0] for r in table(spark, d, "customer").select("c_custkey").orderBy("c_custkey").limit(4).collect()]
     costs = backtest.Costs(Decimal(5), Decimal(10), Decimal(25))
     frozen = bars(spark, d).where("is_final").select(F.col("bar_series_id").alias("instrument_id"), "bar_open_ts", "bar_series_id", "revision_no", "available_at", F.col("available_at").alias("effective_available_at"), "close_price")
-    have = [r[0] for r in frozen.where(F.col("instrument_id").isin(users)).select("instrument_id").distinct().collect()]
-    instruments = tuple(backtest.Instrument(u, timedelta(hours=1)) for u in sorted(have))
-    specs = [backtest.Spec(f"sma-{a}-{b}", datetime(2024, 1, 1, tzinfo=utc), datetime(2024, 3, 1, tzinfo=utc), Decimal(100000), a, b, Decimal(10), costs, instruments) for a, b in ((1, 2), (2, 3), (2, 5), (3, 8))]
-    return backtest.run(frozen, specs)
+    specs = [backtest.Spec(f"sma-{a}-{b}", datetime(2024, 1, 1, tzinfo=utc), datetime(2024, 3, 1, tzinfo=utc), Decimal(100000), a, b, Decimal(10), costs, ()) for a, b in ((1, 2), (2, 3), (2, 5), (3, 8))]
+    return backtest.run_each(frozen, specs, timedelta(hours=1))
 
 
 @query("backtest_simulate_fills")
@@ -30,4 +27,4 @@ def backtest_simulate_fills(spark, d):
 
 @query("backtest_equity")
 def backtest_equity(spark, d):
-    return _journal(spark, d).where("journal IN ('equity', 'summary')").select("run_code", "journal", "price", "cash", "payload")
+    return _journal(spark, d).where("journal IN ('equity', 'summary', 'failed')").select("run_code", "journal", "price", "cash", "payload")
