@@ -4,10 +4,11 @@ One dictionary is trained on passages of toxic texts, the other on ordinary text
 without its marks, a long word cut into pieces) stands between two fixed fillers, so that the compressor can
 look it up in full and never falls back to a raw block. Its gain is how many bytes shorter it gets with the toxic
 dictionary than with the ordinary one. A window is suspect where its gain reaches the threshold calibrated for its
-length on ordinary training windows; a document's score is logistic in the suspect windows' surplus, calibrated on
-the training sample at the classes' own shares.
+length on ordinary training texts; a document's score is logistic in the suspect windows' surplus and in how many
+windows it has, so that the chance hits of a long text do not add up, calibrated on the whole texts of the training
+sample at the classes' own shares.
 
-Defined results: null and empty texts, and texts without a word, get the score of a text without a suspect window;
+Defined results: null and empty texts, and texts without a word, get the score of a text of no windows;
 repeated rows get a row each; other columns are ignored; without labels of both classes every score is the share of
 label 1 (0 without labels); an empty table gives an empty table.
 """
@@ -15,6 +16,7 @@ label 1 (0 without labels); an empty table gives an empty table.
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -26,8 +28,8 @@ from pyspark.sql import functions as F
 from chronofold.llm import labelled
 from chronofold.llm.session import bounded_batches
 
-#: Labelled documents of each class, and characters of each, that a model is fitted on.
-SAMPLE_DOCS, SAMPLE_CHARS = 1500, 8000
+#: Labelled documents of each class that a model is fitted on, each with its whole text, and bytes of all of them.
+SAMPLE_DOCS, SAMPLE_BYTES = 1500, 128 << 20
 #: Bytes of the dictionaries.
 TOXIC_BYTES, ORDINARY_BYTES = 4096, 65536
 #: Characters of the longest window.
@@ -86,27 +88,29 @@ def _pack(words: list[str], size: int) -> bytes:
 
 
 class Model:
-    """What a fit leaves: two dictionaries, thresholds by window length, and two logistic coefficients."""
+    """What a fit leaves: two dictionaries, thresholds by window length, and three logistic coefficients."""
 
-    def __init__(self, toxic: bytes, ordinary: bytes, thresholds: list[int], slope: float, intercept: float):
-        self.toxic, self.ordinary, self.thresholds, self.slope, self.intercept = toxic, ordinary, thresholds, slope, intercept
+    def __init__(self, toxic: bytes, ordinary: bytes, thresholds: list[int], slopes: tuple[float, float], intercept: float):
+        self.toxic, self.ordinary, self.thresholds, self.slopes, self.intercept = toxic, ordinary, thresholds, slopes, intercept
 
-    def surplus(self, gains: Gains, text: str) -> float:
-        over = 0
-        for w in windows(text):
+    def features(self, gains: Gains, text: str) -> tuple[float, float]:
+        """Surplus of the suspect windows, and number of windows, both as logarithms."""
+        over, bag = 0, windows(text)
+        for w in bag:
             if (d := gains(w) - self.thresholds[min(len(w), WINDOW)]) >= 0:
                 over += 1 + d
-        return math.log1p(over)
+        return math.log1p(over), math.log1p(len(bag))
 
     def score(self, gains: Gains, text: str) -> float:
-        return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.slope * self.surplus(gains, text) + self.intercept))))
+        z = sum(a * b for a, b in zip(self.slopes, self.features(gains, text))) + self.intercept
+        return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
 def fit(texts: list[str], labels: list[int], shares: dict[int, float]) -> Model:
     """shares: of each label, the share of its documents that the sample holds."""
     classes = Counter(labels)
     if len(classes) < 2:
-        return Model(b" ", b" ", [1 << 20] * (WINDOW + 1), 0.0, 30.0 if classes.get(1) else -30.0)
+        return Model(b" ", b" ", [1 << 20] * (WINDOW + 1), (0.0, 0.0), 30.0 if classes.get(1) else -30.0)
     bags = [windows(t) for t in texts]
     seen = {k: Counter(w for b, y in zip(bags, labels) if y == k for w in b) for k in (0, 1)}
     n0, n1 = classes[0], classes[1]
@@ -134,16 +138,27 @@ def fit(texts: list[str], labels: list[int], shares: dict[int, float]) -> Model:
                 limit = max(3, d + 1)
                 break
         thresholds.append(limit)
-    model = Model(toxic, ordinary, thresholds, 0.0, 0.0)
-    x, y = np.array([[model.surplus(gains, t)] for t in texts]), np.array(labels, float)
-    model.slope, model.intercept = map(float, labelled.logistic(x, y, np.array([1 / max(shares[k], 1e-9) for k in labels])))
+    model = Model(toxic, ordinary, thresholds, (0.0, 0.0), 0.0)
+    x, y = np.array([model.features(gains, t) for t in texts]), np.array(labels, float)
+    *slopes, model.intercept = map(float, labelled.logistic(x, y, np.array([1 / max(shares[k], 1e-9) for k in labels])))
+    model.slopes = tuple(slopes)
     return model
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
-    """Fit on a bounded sample: SAMPLE_DOCS documents of each class, SAMPLE_CHARS characters of each."""
+    """Fit on a bounded sample of whole texts: SAMPLE_DOCS documents of each class, or as many as SAMPLE_BYTES hold."""
     picked, shares = labelled.sample(labels.select(id_col, F.col(label_col).cast("int").alias(label_col)).where(F.col(label_col).isin(0, 1)), id_col, label_col, SAMPLE_DOCS)
-    rows = docs.select(id_col, F.substring(text_col, 1, SAMPLE_CHARS).alias("text")).where(F.col("text").isNotNull()).join(F.broadcast(picked), id_col)
+    rows = docs.select(id_col, F.col(text_col).alias("text")).where(F.col("text").isNotNull()).join(F.broadcast(picked), id_col)
+    sizes = [tuple(r) for r in rows.select(id_col, label_col, F.octet_length("text")).limit(8 * SAMPLE_DOCS).collect()]
+    if sum(n for _, _, n in sizes) > SAMPLE_BYTES:
+        had, left, ids = Counter(y for _, y, _ in sizes), SAMPLE_BYTES, set()
+        for i, _, n in sorted(sizes, key=lambda r: (zlib.crc32(str(r[0]).encode()), str(r[0]))):
+            if (left := left - n) < 0:
+                break
+            ids.add(i)
+        kept = Counter(y for i, y, _ in sizes if i in ids)
+        shares = {k: x * kept[k] / max(1, had[k]) for k, x in shares.items()}
+        rows = rows.where(F.col(id_col).isin(list(ids)))
     got = sorted((r[id_col], r["text"], r[label_col]) for r in rows.limit(8 * SAMPLE_DOCS).collect())
     return fit([r[1] for r in got], [r[2] for r in got], shares)
 

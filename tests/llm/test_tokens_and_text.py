@@ -117,6 +117,24 @@ def test_quality_and_toxicity_on_held_out_rows(spark):
     assert len(score) == 602 and len(wrong) <= 12 and score[600] == score[601]
 
 
+def test_toxicity_is_fitted_on_whole_texts(spark, monkeypatch):
+    """Toxic words that only stand beyond the first 8000 characters are learnt, and a bound on bytes drops whole rows."""
+    rnd = random.Random(8)
+    plain = lambda n: [rnd.choice(["river", "stone", "bridge", "walks", "slowly", "green", "hill"]) + rnd.choice("abcdefgh") for _ in range(n)]
+    rows = [(i, " ".join(plain(1500) + (["grolk", "snirp", "blurgh"] if i % 3 == 0 else []) + plain(5)), int(i % 3 == 0)) for i in range(90)]
+    assert min(t.find("grolk") for _, t, y in rows if y) > 8000
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.train(df.select("doc_id", "text"), df.select("doc_id", "toxic"))
+    assert b"grolk" in model.toxic
+    assert all((r.score >= 0.3) == (r.doc_id % 3 == 0) for r in toxicity.score(df, model).collect())
+    seen = []
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", sum(len(t) for _, t, _ in rows) // 2)
+    monkeypatch.setattr(toxicity, "fit", lambda texts, labels, shares: seen.append((texts, shares)))
+    toxicity.train(df.select("doc_id", "text"), df.select("doc_id", "toxic"))
+    texts, shares = seen[0]
+    assert 30 < len(texts) < 60 and set(texts) <= {t for _, t, _ in rows} and 0 < shares[0] < 1 and 0 < shares[1] < 1
+
+
 def test_rules_mean_the_same_in_numpy_and_spark(spark):
     rows, labels = corpus(200, 4)
     df = spark.createDataFrame(rows, "doc_id long, text string")
