@@ -202,7 +202,7 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", count_col: s
     """docs with private data in text_col replaced; count_col: a further column with the number of replaced values; size_col: set to the text's characters, if there is such a column."""
     text = F.col(f"`{text_col}`")
     others = [F.col(f"`{c}`") for c in docs.columns]
-    found = F.when(text.rlike("[0-9@]"), F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
+    found = F.when(text.rlike("[0-9@]|AKIA"), F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
     step = docs.select(F.struct(*others).alias("_row"), text.alias("_t"), F.coalesce(found, F.array().cast("array<string>")).alias("_found"))
     step = step.withColumn("_new", F.transform("_found", lambda m: pseudonym(key, m)))
     pieces = F.split("_t", ANY, -1)

@@ -323,3 +323,9 @@ def test_pipeline_stages(spark, tmp_path):
     assert set(seen[4]) == set(seen[3]) and all(len(r.token_ids) == r.n_tokens > 0 for r in seen[4].values())
     run = corpus_pipeline.run(spark, str(tmp_path))
     assert {r.doc_id: r.ids_sha256 for r in run.collect()} == {i: r.ids_sha256 for i, r in seen[4].items()}
+
+
+def test_a_key_of_letters_alone_is_replaced(spark):
+    key = "AKIA" + "QWERTYUIOPASDFGH"
+    (row,) = pii.pseudonymise(spark.createDataFrame([(1, f"key {key} end")], "doc_id long, text string"), "k").collect()
+    assert key not in row.text and re.fullmatch("key AKIA[A-Z0-9]{16} end", row.text) and row.n_replaced == 1
