@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +13,7 @@ from chronofold.llm.labelled import crc_mod
 from chronofold.llm.session import shared_dir
 
 #: Where the public vocabularies lie; a parameter of the operator.
-VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Rows and bytes that one Arrow batch may carry to a Python worker; long texts make batches heavy long before rows do.
@@ -49,3 +51,11 @@ def by_weight(texts: list, limit: int):
         weight += len(t)
     if at < len(texts):
         yield at, len(texts)
+
+
+def release() -> None:
+    """Give memory that a task of a Python worker no longer uses back, as idle workers stay beside the next stage's."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)

@@ -3,9 +3,11 @@
 import base64
 import hashlib
 import random
+import time
 
 import numpy as np
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from chronofold.llm import bpe, labelled, langid, quality, toxicity, warc
@@ -42,8 +44,9 @@ def test_bpe_equals_the_public_tokenizer(spark, public):
 def test_bpe_random_text_and_ids(public):
     rnd, mine = random.Random(1), bpe.ByteBPE(open(VOCABULARY, "rb").read())
     texts = ["".join(rnd.choice("ab  'st\n,.19éß東😀 ") for _ in range(rnd.randint(0, 80))) for _ in range(300)]
-    for (ids, decimal), text in zip(mine.encode(texts), texts):
-        assert ids.tolist() == public.encode(text, add_special_tokens=False).ids and decimal.decode() == ",".join(map(str, ids.tolist()))
+    for ids, text in zip(mine.encode(texts), texts):
+        assert ids.tolist() == public.encode(text, add_special_tokens=False).ids
+        assert mine.decimals(ids)[0].tobytes().decode() == "".join(f"{i}," for i in ids.tolist())
     for _ in range(100):  # ids that no text gives
         ids = [rnd.randrange(50257) for _ in range(8)]
         assert mine.decode(np.array(ids)) == public.decode(ids, skip_special_tokens=False)
@@ -54,8 +57,35 @@ def test_bpe_memory_is_bounded(monkeypatch, public):
     mine = bpe.ByteBPE(open(VOCABULARY, "rb").read())
     for n in range(20):
         text = " ".join(f"w{n}x{k} the" for k in range(4))
-        assert next(iter(mine.encode([text])))[0].tolist() == public.encode(text, add_special_tokens=False).ids
-    assert len(mine.ids) < 60
+        assert next(mine.encode([text])).tolist() == public.encode(text, add_special_tokens=False).ids
+    assert len(mine.young) + len(mine.old) < 60
+
+
+def test_bpe_pretokens_equal_the_pattern():
+    rnd, mine = random.Random(2), bpe.ByteBPE(open(VOCABULARY, "rb").read())
+    parts = ["a", "B", " ", " ", "'", "s", "t", "re", "ve", "ll", "m", "d", "\n", "\t", "1", "²", "é", "東", "😀", ".", "\u3000", "\x85", "\x1c", "\u200b", "\u0301"]
+    texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(1, 30))) for _ in range(3000)]
+    codes = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+    edges = np.cumsum([0, *map(len, texts)])
+    want = [edges[k] + m.start() for k, t in enumerate(texts) for m in regex.finditer(bpe.PATTERN, t)]
+    assert mine.cut(codes, edges).tolist() == want
+
+
+def test_bpe_long_words_and_long_texts(monkeypatch, public):
+    rnd, mine = random.Random(3), bpe.ByteBPE(open(VOCABULARY, "rb").read())
+    monkeypatch.setattr(bpe, "LONG", 16)
+    monkeypatch.setattr(bpe, "SEAM", 2)
+    monkeypatch.setattr(bpe, "BATCH_CHARS", 40)
+    for letters in ("a", "ab", "etaoin", "abcdefghijklmnopqrstuvwxyz", "aé", "東京大学"):
+        word = "".join(rnd.choice(letters) for _ in range(2000))
+        text = " ".join(word[i : i + rnd.randint(1, 90)] for i in range(0, 2000, 50)) + "<|endoftext|>" + word
+        for t in (word, text):
+            assert next(mine.encode([t])).tolist() == public.encode(t, add_special_tokens=False).ids
+    began = time.perf_counter()
+    monkeypatch.undo()
+    word = "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(80_000))
+    assert next(mine.encode([word])).tolist() == public.encode(word, add_special_tokens=False).ids
+    assert time.perf_counter() - began < 10
 
 
 def languages(n):
