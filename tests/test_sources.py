@@ -137,6 +137,25 @@ def test_three_canonical_forms():
     assert canonical.storage_bytes(row).decode() == '{"a":0.00,"b":1.500,"c":[true,null,"é"]}'
 
 
+def test_json_of_columns_equals_that_of_values(spark):
+    from pyspark.sql import functions as F
+
+    values = [None, "", 'a"b\\c', "".join(map(chr, range(0x20))) + "\x7f", "é東😀\u2028", "\\u0001"]
+    df = spark.createDataFrame([(v,) for v in values], "v string").select(canonical.json_object({"a": canonical.quoted(F.col("v")), "b": F.lit(None).cast("string")}).alias("x"))
+    assert [r.x.encode() for r in df.collect()] == [canonical.snapshot_bytes({"a": v, "b": None}) for v in values]
+
+
+def test_plain_decimals_and_instants():
+    from decimal import Decimal
+
+    assert [canonical.plain(Decimal(x)) for x in ("-0.00", "1E+3", "1.2300", "-5", "0.000000000000000001", "12345678901234567890.123456789012345678")] == ["0", "1000", "1.23", "-5", "0.000000000000000001", "12345678901234567890.123456789012345678"]
+    assert canonical.instant(datetime(2030, 1, 1, 3, 30, 0, 500, tzinfo=timezone(timedelta(hours=3, minutes=30)))) == "2030-01-01T00:00:00.0005Z"
+    with pytest.raises(ValueError):
+        canonical.instant(datetime(2030, 1, 1))
+    with pytest.raises(TypeError):
+        canonical.row_bytes(datetime(2030, 1, 1, tzinfo=timezone.utc))
+
+
 def test_streams(spark, tmp_path):
     ticks = [(1, DAY + timedelta(seconds=s), s, float(s % 7)) for s in range(0, 600, 10)]
     schema = "instrument_id long, event_ts timestamp_ntz, source_sequence long, price double"
