@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
+import sys
 import unicodedata
-from datetime import date, timedelta
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -16,12 +17,32 @@ PERSIAN_DIGITS, ARABIC_DIGITS, DIGITS = "۰۱۲۳۴۵۶۷۸۹", "٠١٢٣٤٥٦
 LETTERS, LETTERS_AS = "يىك", "ییک"
 # Years of a 33-year cycle that have 366 days.
 LEAP_OF_33 = (1, 5, 9, 13, 17, 22, 26, 30)
+#: The first day of the Jalali year 1.
+FIRST_DAY = "0622-03-21"
+
+
+@lru_cache
+def composed_to(wanted: str) -> tuple[str, str]:
+    """All single characters whose compatibility composition is one other character of wanted, and those characters."""
+    pairs = [(chr(c), unicodedata.normalize("NFKC", chr(c))) for c in range(0x80, sys.maxunicode + 1) if not 0xD800 <= c <= 0xDFFF]
+    kept = [(c, to) for c, to in pairs if len(to) == 1 and to in wanted and c != to]
+    return "".join(c for c, _ in kept), "".join(to for _, to in kept)
+
+
+def compatible(c: Column, wanted: str) -> Column:
+    """c with every character that composes to one of wanted written as that one; the rest stays."""
+    return F.translate(c, *composed_to(wanted))
 
 
 def normalize_digits(c: Column) -> Column:
     return F.translate(c, PERSIAN_DIGITS + ARABIC_DIGITS, DIGITS + DIGITS)
 
 
+def clean_number(c: Column, more: str) -> Column:
+    """Digits of any width or script, and the characters more, as ASCII; trimmed."""
+    return F.trim(normalize_digits(compatible(c, PERSIAN_DIGITS + ARABIC_DIGITS + DIGITS + more + " ")))
+
+
 @F.pandas_udf(StringType())
 def nfkc(s: pd.Series) -> pd.Series:
     """Compatibility composition; Spark has no built-in for it."""
@@ -36,44 +57,48 @@ def normalize_symbol(c: Column) -> Column:
 
 def normalize_symbol_text(value: str) -> str:
     """normalize_symbol for one value, on the driver."""
-    s = unicodedata.normalize("NFKC", value).translate(str.maketrans(PERSIAN_DIGITS + ARABIC_DIGITS + LETTERS, DIGITS + DIGITS + LETTERS_AS))
-    return re.sub(r"\s+", " ", s).strip()
+    western = {**dict(zip(LETTERS, LETTERS_AS)), **{c: str(i) for digits in (PERSIAN_DIGITS, ARABIC_DIGITS) for i, c in enumerate(digits)}}
+    return " ".join("".join(western.get(c, c) for c in unicodedata.normalize("NFKC", value)).split())
+
+
+def days_before(year: Column) -> Column:
+    """Days from the first day of the Jalali year 1 to that of another: 12053 in each 33 years, 365 and its leap day in each of a cycle."""
+    cycle, rest = F.floor((year - 1) / 33), F.pmod(year - 1, F.lit(33))
+    leaps = F.size(F.filter(F.array(*map(F.lit, LEAP_OF_33)), lambda leap: leap <= rest))
+    return 12053 * cycle + 365 * rest + leaps
+
+
+def let(value: Column, body) -> Column:
+    """body(value), with value computed once."""
+    return F.transform(F.array(value), body)[0]
 
 
 def jalali_date(c: Column) -> Column:
     """YYYY-MM-DD or YYYY/MM/DD of the Jalali calendar as a date; null where it is none."""
-    s = F.trim(normalize_digits(c))
-    ok = s.rlike(r"^\d{4}([-/])\d{2}\1\d{2}$")
-    y, m, d = (F.when(ok, F.substring(s, at, n)).cast("int") for at, n in ((1, 4), (6, 2), (9, 2)))
-    leap = (y % 33).isin(*LEAP_OF_33)
-    longest = F.when(m <= 6, 31).when(m <= 11, 30).when(leap, 30).otherwise(29)
-    valid = (y >= 1) & m.between(1, 12) & (d >= 1) & (d <= longest)
-    j = y - 979
-    cycles = F.floor(j / 33)
-    months = F.when(m <= 7, 31 * (m - 1)).otherwise(186 + 30 * (m - 7))
-    days = 365 * j + cycles * 8 + F.floor(((j - cycles * 33) + 3) / 4) + months + d - 1
-    return F.when(valid, F.date_add(F.lit("1600-03-20").cast("date"), days.cast("int")))
-
-
-def jalali_date_text(value: str) -> date:
-    """jalali_date for one value, on the driver; ValueError where it is none."""
-    s = unicodedata.normalize("NFKC", value).translate(str.maketrans(PERSIAN_DIGITS + ARABIC_DIGITS, DIGITS + DIGITS)).strip()
-    if not (got := re.fullmatch(r"(\d{4})([-/])(\d{2})\2(\d{2})", s)):
-        raise ValueError("not a Jalali date")
-    y, m, d = int(got[1]), int(got[3]), int(got[4])
-    if y < 1 or not 1 <= m <= 12 or not 1 <= d <= (31 if m <= 6 else 30 if m <= 11 or y % 33 in LEAP_OF_33 else 29):
-        raise ValueError("not a day of the Jalali calendar")
-    cycles, rest = divmod(y - 979, 33)
-    days = 365 * (y - 979) + cycles * 8 + (rest + 3) // 4 + (31 * (m - 1) if m <= 7 else 186 + 30 * (m - 7)) + d - 1
-    return date(1600, 3, 20) + timedelta(days)
+
+    def day(s: Column) -> Column:
+        fits = s.rlike(r"^\d{4}([-/])\d{2}\1\d{2}$")
+        return let(F.when(fits, F.transform(F.split(s, "[-/]"), lambda x: x.try_cast("int"))), lambda p: of(p[0], p[1], p[2]))
+
+    def of(y: Column, m: Column, d: Column) -> Column:
+        longest = F.when(m <= 6, 31).when((m <= 11) | F.pmod(y, F.lit(33)).isin(*LEAP_OF_33), 30).otherwise(29)
+        days = days_before(y) + 30 * (m - 1) + F.least(m - 1, F.lit(6)) + d - 1
+        return F.when((y >= 1) & m.between(1, 12) & d.between(1, longest), F.date_add(F.lit(FIRST_DAY).cast("date"), days.cast("int")))
+
+    return let(clean_number(c, "-/"), day)
 
 
 def source_time(c: Column) -> Column:
     """HH:MM or HH:MM:SS as seconds of the day; null where it is neither."""
-    s = F.trim(normalize_digits(c))
-    part = lambda k: F.regexp_extract(s, r"^(\d{2}):(\d{2})(?::(\d{2}))?$", k)
-    h, m, sec = part(1).try_cast("int"), part(2).try_cast("int"), F.coalesce(part(3).try_cast("int"), F.lit(0))
-    return F.when((h <= 23) & (m <= 59) & (sec <= 59), h * 3600 + m * 60 + sec)
+
+    def seconds(s: Column) -> Column:
+        fits = s.rlike(r"^\d{2}:\d{2}(:\d{2})?$")
+        return let(F.when(fits, F.transform(F.split(s, ":"), lambda x: x.try_cast("int"))), lambda p: of(p[0], p[1], F.coalesce(F.get(p, 2), F.lit(0))))
+
+    def of(h: Column, m: Column, sec: Column) -> Column:
+        return F.when((h <= 23) & (m <= 59) & (sec <= 59), h * 3600 + m * 60 + sec)
+
+    return let(clean_number(c, ":"), seconds)
 
 
 def normalize_isin(c: Column) -> Column:
