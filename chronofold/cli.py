@@ -59,9 +59,10 @@ def _run(a: argparse.Namespace) -> tuple[int, dict]:
         return 5, {"problems": wrong}
     files = {c["component_key"]: c for c in store.manifest(code)["components"]}
     for instrument, keys in roles.items():
-        c = files[keys["SIGNAL"]]
-        df = snapshots.load(spark, str(store.folder(code) / c["file"]), c["bar_series_id"])
-        parts.append(df.selectExpr(f"CAST({instrument} AS BIGINT) AS instrument_id", "bar_open_ts", "bar_series_id", "revision_no", "available_at", "effective_available_at", "close_price"))
+        for role, key in keys.items():
+            c = files[key]
+            df = snapshots.load(spark, str(store.folder(code) / c["file"]), c["bar_series_id"])
+            parts.append(df.selectExpr(f"CAST({instrument} AS BIGINT) AS instrument_id", *backtest.BAR_COLUMNS[1:], f"'{role}' AS role"))
     bars = parts[0]
     for df in parts[1:]:
         bars = bars.unionByName(df)
