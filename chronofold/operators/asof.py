@@ -1,22 +1,31 @@
 """As-of joins: what each decision could see, what an order executes on, the nearest earlier row.
 
-Each is an equality join with a range residual, followed by one aggregation that keeps the best match, so that it
-partitions by its key and combines before the shuffle."""
+Both sides of a key are put into one order and matched by one window over it, so that the work of a key is a sort and
+not a product of its rows."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from chronofold.operators.backtest import Tape
+
 
 def backward(left: DataFrame, right: DataFrame, on: Sequence[str], left_ts: str, right_ts: str, payload: Sequence[str], left_id: Sequence[str]) -> DataFrame:
-    """Each left row with the payload of the latest right row at or before it; null without one."""
-    r = right.select(*on, F.col(right_ts).alias("_ts"), F.struct(*payload).alias("_payload"))
-    joined = left.join(r, [left[k] == r[k] for k in on] + [r["_ts"] <= left[left_ts]], "left")
-    best = joined.groupBy(*[left[c] for c in left_id]).agg(F.max(F.struct("_ts", "_payload")).alias("_best"))
-    return best.select(*left_id, *[F.col(f"_best._payload.{p}").alias(p) for p in payload])
+    """Each left row with the payload of the latest right row at or before it (of equally late ones the largest payload); null without one."""
+    given = F.struct(*[F.col(p).alias(f"p{i}") for i, p in enumerate(payload)])
+    asked = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(left_id)])
+    names = [f"_k{i}" for i in range(len(on))]
+    keys = [F.col(k).alias(n) for k, n in zip(on, names)]
+    known = right.dropna(subset=list(on)).select(*keys, F.col(right_ts).alias("_ts"), given.alias("_given"))
+    wanted = left.select(*keys, F.col(left_ts).alias("_ts"), asked.alias("_asked"))
+    both = known.unionByName(wanted, allowMissingColumns=True)
+    by = Window.partitionBy(*names).orderBy("_ts", F.col("_asked").isNotNull(), "_given").rowsBetween(Window.unboundedPreceding, 0)
+    found = both.withColumn("_found", F.last("_given", ignorenulls=True).over(by)).where("_asked IS NOT NULL")
+    return found.select(*[F.col(f"_asked.c{i}").alias(c) for i, c in enumerate(left_id)], *[F.col(f"_found.p{i}").alias(p) for i, p in enumerate(payload)])
 
 
 def decision_schedule(bars: DataFrame, clock: str) -> DataFrame:
@@ -36,10 +45,45 @@ def visible_at(decisions: DataFrame, bars: DataFrame, clock: str, payload: Seque
     return best.select("bar_series_id", "decision_ts", "bar_open_ts", "_row.*")
 
 
+def last_visible(decisions: DataFrame, bars: DataFrame, clock: str, n: int, payload: Sequence[str]) -> DataFrame:
+    """For each decision the newest n bars of its series that are visible then, each by its highest revision; rank 1 is the newest.
+
+    A series is one sorted tape in which instants are found by bisection; its bars are what one group holds."""
+    kinds = {f.name: f.dataType.simpleString() for f in bars.schema.fields}
+    d = decisions.select("bar_series_id", F.col("decision_ts").alias("_seen")).distinct()
+    b = bars.select("bar_series_id", F.col(clock).alias("_seen"), "bar_open_ts", "revision_no", *payload)
+    both = d.unionByName(b, allowMissingColumns=True)
+    schema = f"bar_series_id {kinds['bar_series_id']}, decision_ts {kinds[clock]}, rank int, bar_open_ts {kinds['bar_open_ts']}, revision_no {kinds['revision_no']}, " + ", ".join(f"{p} {kinds[p]}" for p in payload)
+    columns = ["bar_series_id", "decision_ts", "rank", "bar_open_ts", "revision_no", *payload]
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        asked = pdf["bar_open_ts"].isna()
+        held = pdf[~asked].rename(columns={"_seen": "effective_available_at"})
+        if held.empty or not asked.any():
+            return pd.DataFrame(columns=columns)
+        tape, out = Tape(held.itertuples(index=False)), []
+        for moment in pdf.loc[asked, "_seen"]:
+            for rank, b in enumerate(reversed(tape.newest(moment, n)), 1):
+                out.append((b.bar_series_id, moment, rank, b.bar_open_ts, int(b.revision_no), *[getattr(b, p) for p in payload]))
+        return pd.DataFrame(out, columns=columns)
+
+    return both.groupBy("bar_series_id").applyInPandas(one, schema)
+
+
 def next_execution_bar(orders: DataFrame, bars: DataFrame, clock: str, lag_seconds: Column) -> DataFrame:
-    """For each order (order_id, bar_series_id, signal_open_ts, submitted_at) the first later bar that can first be seen at or after submission plus lag; null without one."""
+    """For each order (order_id, bar_series_id, signal_open_ts, submitted_at) the first later bar that can first be seen at or after submission plus lag; null without one.
+
+    Going back in time, a window keeps the earliest opening among the bars that are seen late enough. Where that bar
+    opens after the signal's it is the answer; only orders to which an older bar still comes late meet their series' bars."""
     first = bars.groupBy("bar_series_id", "bar_open_ts").agg(F.min(clock).alias("first_seen"))
-    joined = orders.join(first, "bar_series_id", "left")
-    ok = (F.col("bar_open_ts") > F.col("signal_open_ts")) & (F.col("first_seen") >= F.col("submitted_at") + F.make_dt_interval(secs=lag_seconds))
-    best = F.min(F.when(ok, F.struct("bar_open_ts", "first_seen")))
-    return joined.groupBy("order_id", "bar_series_id").agg(best.alias("_b")).select("order_id", "bar_series_id", F.col("_b.bar_open_ts").alias("execution_open_ts"), F.col("_b.first_seen").alias("execution_ts"))
+    asked = orders.select("bar_series_id", "order_id", "signal_open_ts", (F.col("submitted_at") + F.make_dt_interval(secs=lag_seconds)).alias("_ts"))
+    known = first.select("bar_series_id", F.col("first_seen").alias("_ts"), F.struct("bar_open_ts", "first_seen").alias("_bar"))
+    both = known.unionByName(asked.withColumn("_asked", F.lit(True)), allowMissingColumns=True)
+    by = Window.partitionBy("bar_series_id").orderBy(F.desc("_ts"), F.col("_asked").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    found = both.withColumn("_best", F.min("_bar").over(by)).where("_asked")
+    late = F.coalesce(F.col("_best.bar_open_ts") <= F.col("signal_open_ts"), F.lit(False))
+    plain = found.where(~late).select("order_id", "bar_series_id", F.col("_best").alias("_b"))
+    rest = found.where(late).select("order_id", "bar_series_id", "signal_open_ts", "_ts").join(first, "bar_series_id")
+    ok = (F.col("bar_open_ts") > F.col("signal_open_ts")) & (F.col("first_seen") >= F.col("_ts"))
+    rest = rest.groupBy("order_id", "bar_series_id").agg(F.min(F.when(ok, F.struct("bar_open_ts", "first_seen"))).alias("_b"))
+    return plain.unionByName(rest).select("order_id", "bar_series_id", F.col("_b.bar_open_ts").alias("execution_open_ts"), F.col("_b.first_seen").alias("execution_ts"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,12 +28,18 @@ def clock(mode: str) -> str:
     return CLOCK[mode]
 
 
+def utc(value: datetime) -> datetime:
+    """The instant without zone, in UTC, which is what tables hold; an argument without zone is one already."""
+    return value if value.tzinfo is None else value.astimezone(timezone.utc).replace(tzinfo=None)
+
+
 def checked_range(event_from: datetime, event_to: datetime, cutoff: datetime) -> None:
     for name, value in (("event_from", event_from), ("event_to", event_to), ("cutoff", cutoff)):
         if value is None:
             raise NullArgument(f"{name} is null")
-        if not isinstance(value, datetime) or value in (datetime.min, datetime.max):
+        if not isinstance(value, datetime) or value.replace(tzinfo=None) in (datetime.min, datetime.max):
             raise InvalidArgument(f"{name} is not a finite timestamp")
+    event_from, event_to, cutoff = utc(event_from), utc(event_to), utc(cutoff)
     if event_from >= event_to:
         raise InvalidArgument("event_from is not before event_to")
     if event_to > cutoff:
@@ -41,7 +47,7 @@ def checked_range(event_from: datetime, event_to: datetime, cutoff: datetime) ->
 
 
 def at(value: datetime) -> Column:
-    return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+    return F.lit(utc(value).strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
 
 
 def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -76,11 +82,24 @@ def bars_as_of(bars: DataFrame, series_ids: Iterable[int] | None, event_from: da
         for s in wanted:
             if s not in known:
                 raise NotFound(f"unknown series {s}")
-            if known[s] is not None and known[s] > cutoff:
+            if known[s] is not None and known[s] > utc(cutoff):
                 raise InvalidArgument(f"the adjustment of series {s} was made after the cutoff")
     return out
 
 
+def finite(*cols: str) -> Column:
+    """Whether timestamps of rows are neither null nor one of the two that stand for infinity."""
+    out = F.lit(True)
+    for c in cols:
+        out = out & F.col(c).isNotNull() & (F.col(c) > F.lit("0001-01-01").cast("timestamp_ntz")) & (F.col(c) < F.lit("9999-12-31 23:59:59.999999").cast("timestamp_ntz"))
+    return out
+
+
+def in_order(bars: DataFrame) -> DataFrame:
+    """A read in its published order. Sorting is a shuffle of its own, so it is asked for and not part of the read."""
+    return bars.orderBy("bar_open_ts", "bar_series_id", "revision_no")
+
+
 def current_bar(bars: DataFrame) -> DataFrame:
     """The latest revision of each bar regardless of any cutoff, finality or the system's clock: not for history."""
     return latest(bars, ("bar_series_id", "bar_open_ts"), ("available_at", "revision_no"))

@@ -35,6 +35,19 @@ def the_one(df: DataFrame, what: str = "row"):
     return rows[0]
 
 
+def by_code(df: DataFrame, code: str, value: str, within: dict | None = None):
+    """The one row with a natural key: a provider by code, a feed by code within its provider, a timeframe, a session."""
+    for c, v in (within or {}).items():
+        df = df.where(F.col(c).eqNullSafe(F.lit(v)))
+    return the_one(df.where(F.col(code) == F.lit(value)), f"{code} {value!r}")
+
+
+def sessions(calendar: DataFrame, venue: str, first, last, code: str = "REGULAR") -> DataFrame:
+    """A venue's sessions of a code from one trading date to another, both included, in order."""
+    held = (F.col("venue_code") == F.lit(venue)) & (F.col("session_code") == F.lit(code))
+    return calendar.where(held & F.col("trading_date").between(F.lit(first).cast("date"), F.lit(last).cast("date"))).orderBy("trading_date")
+
+
 def ambiguous_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that more than one row has, with the number: the batch form of the_one()."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -66,7 +79,7 @@ def rejected_proposals(proposed: DataFrame, existing: DataFrame, keys: Sequence[
     return p.join(e, on, "left_semi")
 
 
-def missing_days(days: DataFrame, day_col: str, first: Column, last: Column, spark=None) -> DataFrame:
+def missing_days(days: DataFrame, day_col: str, first: Column, last: Column) -> DataFrame:
     """Dates of the inclusive range that days lacks."""
     every = days.sparkSession.range(1).select(F.explode(F.sequence(first.cast("date"), last.cast("date"))).alias(day_col))
     return every.join(days.select(F.col(day_col).cast("date").alias(day_col)).distinct(), day_col, "left_anti")

@@ -1,9 +1,10 @@
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from chronofold.errors import InvalidArgument, NotFound, NullArgument
-from chronofold.operators import pit
+from chronofold.operators import asof, pit, temporal
 
 DAY = "2042-01-10 "
 #: opening, revision, available, system_available, close, final, closing price
@@ -92,3 +93,56 @@ def test_filters_reach_the_scan(spark, bars, tmp_path):
     assert "WindowGroupLimit" in plan and "PushedFilters" in plan
     for c in ("is_final", "bar_open_ts", "bar_close_ts", "available_at"):
         assert c in plan.split("PushedFilters: [")[1].split("]")[0]
+
+
+def test_zoned_arguments_are_instants(spark):
+    from datetime import timezone
+
+    tehran = timezone(timedelta(hours=3, minutes=30))
+    local = datetime(2024, 1, 1, 3, 30, tzinfo=tehran)
+    assert spark.range(1).select(pit.at(local) == pit.at(datetime(2024, 1, 1))).first()[0]
+    with pytest.raises(InvalidArgument):
+        pit.checked_range(datetime(2024, 1, 1), datetime(2024, 1, 1, 3, 30, tzinfo=tehran), datetime(2024, 1, 2))
+    pit.checked_range(datetime(2024, 1, 1), datetime(2024, 1, 2, tzinfo=tehran), datetime(2024, 1, 2))
+
+
+def test_finite_columns(spark):
+    df = spark.sql("SELECT CAST(x AS TIMESTAMP_NTZ) AS t FROM VALUES ('2024-01-01'), (NULL), ('0001-01-01'), ('9999-12-31 23:59:59.999999') AS v(x)")
+    assert df.where(pit.finite("t")).count() == 1
+
+
+def test_natural_keys_and_sessions(spark):
+    from chronofold.errors import Ambiguous, NotFound
+
+    df = spark.createDataFrame([(1, "a", "f"), (2, "b", "f"), (3, "b", "g"), (4, "b", "g")], "id int, provider string, feed string")
+    assert temporal.by_code(df, "feed", "f", {"provider": "b"}).id == 2
+    with pytest.raises(NotFound):
+        temporal.by_code(df, "feed", "x")
+    with pytest.raises(Ambiguous):
+        temporal.by_code(df, "feed", "g", {"provider": "b"})
+
+
+def test_as_of_joins_equal_a_search_of_all_rows(spark):
+    import random
+
+    rnd = random.Random(3)
+    left = [(rnd.choice([None, 1, 2]), i, rnd.randint(0, 20)) for i in range(80)]
+    right = [(rnd.choice([None, 1, 2, 3]), rnd.randint(0, 20), rnd.randint(0, 5)) for _ in range(60)]
+    l, r = spark.createDataFrame(left, "k int, id int, t int"), spark.createDataFrame(right, "k int, t int, v int")
+    got = {x.id: x.v for x in asof.backward(l, r, ["k"], "t", "t", ["v"], ["id", "k"]).collect()}
+    for k, i, t in left:
+        seen = [(u, v) for j, u, v in right if k is not None and j == k and u <= t]
+        assert got[i] == (max(seen)[1] if seen else None)
+    day = lambda n: datetime(2024, 1, 1) + timedelta(hours=n)
+    bars = [(s, day(24 * o), day(24 * o + rnd.choice([24, 24, 30, 100]) + 6 * n)) for s in (1, 2) for o in range(15) for n in range(2)]
+    orders = [(i, rnd.choice([1, 2, 3]), day(24 * rnd.randint(0, 14)), day(rnd.randint(0, 400))) for i in range(120)]
+    b = spark.createDataFrame(bars, "bar_series_id int, bar_open_ts timestamp_ntz, available_at timestamp_ntz")
+    o = spark.createDataFrame(orders, "order_id int, bar_series_id int, signal_open_ts timestamp_ntz, submitted_at timestamp_ntz")
+    first = {}
+    for s, op, a in bars:
+        first[s, op] = min(a, first.get((s, op), a))
+    got = {x.order_id: (x.execution_open_ts, x.execution_ts) for x in asof.next_execution_bar(o, b, "available_at", F.lit(3600)).collect()}
+    assert len(got) == len(orders)
+    for i, s, signal, at in orders:
+        fits = sorted((op, a) for (j, op), a in first.items() if j == s and op > signal and a >= at + timedelta(hours=1))
+        assert got[i] == (fits[0] if fits else (None, None))
