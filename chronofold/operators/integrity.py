@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -89,3 +89,58 @@ def vector_violations(df: DataFrame, vector: str, expected: Column) -> DataFrame
 def set_difference(a: DataFrame, b: DataFrame) -> DataFrame:
     """Rows that only one of two tables has, with multiplicity, and which."""
     return a.exceptAll(b).withColumn("side", F.lit("LEFT")).unionByName(b.exceptAll(a).withColumn("side", F.lit("RIGHT")))
+
+
+def run_boundary_violations(runs: DataFrame, snapshots: DataFrame, before: DataFrame | None = None) -> DataFrame:
+    """Runs (run_id, snapshot_id, cutoff, mode) that do not replay a frozen snapshot at its own boundary, or that moved
+    it after they had left QUEUED (before: run_id, snapshot_id, cutoff, mode and status as they were)."""
+    s = snapshots.select("snapshot_id", F.col("status").alias("_status"), F.col("cutoff").alias("_cutoff"), F.col("mode").alias("_mode"))
+    seen = runs.join(s, "snapshot_id", "left")
+    code = F.when(~F.col("_status").eqNullSafe(F.lit("FROZEN")), "NOT_FROZEN").when(is_distinct([F.col("cutoff"), F.col("mode")], [F.col("_cutoff"), F.col("_mode")]), "OTHER_BOUNDARY")
+    if before is not None:
+        old = before.where("status <> 'QUEUED'").select("run_id", *[F.col(c).alias(f"_old_{c}") for c in ("snapshot_id", "cutoff", "mode")], F.lit(True).alias("_left"))
+        seen = seen.join(old, "run_id", "left")
+        names = ("snapshot_id", "cutoff", "mode")
+        code = code.when(F.col("_left") & is_distinct([F.col(c) for c in names], [F.col(f"_old_{c}") for c in names]), "BOUNDARY_CHANGED")
+    return seen.withColumn("violation", code).where("violation IS NOT NULL").select(*runs.columns, "violation")
+
+
+def valuation_violations(valuations: DataFrame, bars: DataFrame, bound: DataFrame, clock: str, cutoff: Column) -> DataFrame:
+    """Position valuations (run_id, instrument_id, snapshot_ts and a bar's keys) whose bar is missing, of another instrument, of
+    a series that the run does not bind for VALUATION, or was not available at the valuation and the cutoff."""
+    keys = ["bar_series_id", "bar_open_ts", "revision_no"]
+    roles = bound.where("series_role = 'VALUATION'").select("run_id", "bar_series_id").distinct().withColumn("_bound", F.lit(True))
+    b = bars.select(*keys, F.col("instrument_id").alias("_instrument"), F.col(clock).alias("effective_at"))
+    seen = valuations.join(b, keys, "left").join(roles, ["run_id", "bar_series_id"], "left")
+    code = (
+        F.when(F.col("effective_at").isNull(), "UNKNOWN_BAR").when(F.col("_instrument") != F.col("instrument_id"), "OTHER_INSTRUMENT").when(F.col("_bound").isNull(), "UNBOUND_SERIES")
+        .when(F.col("effective_at") > F.col("snapshot_ts"), "LOOK_AHEAD").when(F.col("effective_at") > cutoff, "AFTER_CUTOFF")
+    )
+    return seen.withColumn("violation", code).where("violation IS NOT NULL").drop("_bound", "_instrument")
+
+
+def batch_count_violations(batches: DataFrame) -> DataFrame:
+    """Batches with a negative count, or with more rows accepted and rejected than received."""
+    r, a, x = F.col("received"), F.col("accepted"), F.col("rejected")
+    code = F.when(F.least(r, a, x) < 0, "NEGATIVE_COUNT").when(a + x > r, "MORE_THAN_RECEIVED")
+    return batches.withColumn("violation", code).where("violation IS NOT NULL")
+
+
+def sequence_gaps(df: DataFrame, keys: Sequence[str], sequence: str) -> DataFrame:
+    """keys, after and before: the ends of each gap in a key's sequence numbers."""
+    by = Window.partitionBy(*keys).orderBy(sequence)
+    return df.select(*keys, F.lag(sequence).over(by).alias("after"), F.col(sequence).alias("before")).where("before > after + 1")
+
+
+def outside_session(df: DataFrame, calendar: DataFrame, day: str, ts: str) -> DataFrame:
+    """Rows whose timestamp lies in no session of their day; calendar: day, session_open_ts, session_close_ts."""
+    return df.alias("x").join(calendar.alias("c"), (F.col(f"x.{day}") == F.col(f"c.{day}")) & (F.col(f"x.{ts}") >= F.col("c.session_open_ts")) & (F.col(f"x.{ts}") <= F.col("c.session_close_ts")), "left_anti")
+
+
+def quality_gates(checks: dict[str, DataFrame]) -> DataFrame:
+    """gate, violations and passed of each check, a DataFrame whose rows are violations. A dataset is frozen where all pass."""
+    out = None
+    for name, rows in checks.items():
+        one = rows.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("gate"), "violations", (F.col("violations") == 0).alias("passed"))
+        out = one if out is None else out.unionByName(one)
+    return out

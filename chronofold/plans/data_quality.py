@@ -305,14 +305,20 @@ def batch_terminal_status(spark, d):
     return ingest.batch_status(_raw(spark, d).withColumn("batch", F.col("l_suppkey")), ["batch"], included)
 
 
-@query("append_if_changed", """WITH x AS (SELECT user_id, ts, event_id, CAST(floor(value / 25) AS BIGINT) AS level, event_type, lag(event_id) OVER w AS prev, lag(CAST(floor(value / 25) AS BIGINT)) OVER w AS l0, lag(event_type) OVER w AS t0 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
-    k AS (SELECT *, CASE WHEN prev IS NULL OR l0 <> level OR t0 <> event_type THEN 1 ELSE 0 END AS kept FROM x),
-    n AS (SELECT *, CAST(sum(kept) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS revision_no FROM k)
-    SELECT user_id, event_id, CASE WHEN kept = 0 THEN 'UNCHANGED' WHEN revision_no = 1 THEN 'INSERTED' ELSE 'CORRECTED' END AS outcome, revision_no FROM n WHERE event_id % 2 IN (0, 1)""")
+@query("append_if_changed", """WITH e AS (SELECT user_id, ts, event_id, CAST(floor(value / 25) AS BIGINT) AS level, event_type FROM events),
+    stored AS (SELECT user_id, event_id % 4 + 1 AS revision_no, level, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_id % 4 ORDER BY ts DESC, event_id DESC) AS rk FROM e) WHERE rk = 1 AND user_id % 3 <> 0),
+    top AS (SELECT user_id, max(revision_no) AS base, arg_max(level, revision_no) AS level, arg_max(event_type, revision_no) AS event_type FROM stored GROUP BY user_id),
+    every AS (SELECT user_id, base, level, event_type, NULL AS ts, NULL AS event_id, 0 AS fresh FROM top UNION ALL SELECT user_id, NULL, level, event_type, ts, event_id, 1 FROM e),
+    x AS (SELECT *, row_number() OVER w AS pos, lag(level) OVER w AS l0, lag(event_type) OVER w AS t0, coalesce(max(base) OVER (PARTITION BY user_id), 0) AS b FROM every WINDOW w AS (PARTITION BY user_id ORDER BY fresh, ts, event_id)),
+    k AS (SELECT *, CASE WHEN fresh = 1 AND (pos = 1 OR l0 <> level OR t0 <> event_type) THEN 1 ELSE 0 END AS kept FROM x),
+    n AS (SELECT *, CAST(b + sum(kept) OVER (PARTITION BY user_id ORDER BY fresh, ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS revision_no FROM k)
+    SELECT user_id, event_id, CASE WHEN kept = 0 THEN 'UNCHANGED' WHEN revision_no = 1 THEN 'INSERTED' ELSE 'CORRECTED' END AS outcome, revision_no FROM n WHERE fresh = 1""")
 def append_if_changed(spark, d):
+    """Against a store that holds up to four revisions of two users in three."""
     e = table(spark, d, "events").select("user_id", "ts", "event_id", F.floor(F.col("value") / 25).cast("bigint").alias("level"), "event_type")
-    none = e.where("false").select("user_id", "level", "event_type", F.lit(0).alias("revision_no"))
-    return ingest.append_if_changed(none, e, ["user_id"], ["level", "event_type"], ["ts", "event_id"]).select("user_id", "event_id", "outcome", "revision_no")
+    newest = F.max(F.struct("ts", "event_id", "level", "event_type")).alias("n")
+    stored = e.where("user_id % 3 <> 0").groupBy("user_id", (F.col("event_id") % 4 + 1).alias("revision_no")).agg(newest).select("user_id", "revision_no", "n.level", "n.event_type")
+    return ingest.append_if_changed(stored, e, ["user_id"], ["level", "event_type"], ["ts", "event_id"]).select("user_id", "event_id", "outcome", "revision_no")
 
 
 @query("source_watermark", "SELECT user_id, strftime(max(ts), '%Y-%m-%d') AS watermark FROM events WHERE event_type <> 'error' GROUP BY user_id")
@@ -331,10 +337,10 @@ def raw_event_latest_outcome(spark, d):
     return ingest.latest_outcome(table(spark, d, "customer").select("c_custkey"), o, ["c_custkey"], ["o_orderdate", "o_orderkey"]).select("c_custkey", "outcome")
 
 
-@query("manifest_set_diff", """(SELECT c_nationkey AS k, 'LEFT' AS side FROM customer WHERE c_custkey % 7 <> 0 EXCEPT ALL SELECT s_nationkey, 'LEFT' FROM supplier)
-    UNION ALL (SELECT s_nationkey, 'RIGHT' FROM supplier EXCEPT ALL SELECT c_nationkey, 'RIGHT' FROM customer WHERE c_custkey % 7 <> 0)""")
+@query("manifest_set_diff", """(SELECT c_nationkey AS k, 'LEFT' AS side FROM customer EXCEPT ALL SELECT s_nationkey, 'LEFT' FROM supplier)
+    UNION ALL (SELECT s_nationkey, 'RIGHT' FROM supplier EXCEPT ALL SELECT c_nationkey, 'RIGHT' FROM customer)""")
 def manifest_set_diff(spark, d):
-    return integrity.set_difference(table(spark, d, "customer").where("c_custkey % 7 <> 0").select(F.col("c_nationkey").alias("k")), table(spark, d, "supplier").select(F.col("s_nationkey").alias("k")))
+    return integrity.set_difference(table(spark, d, "customer").select(F.col("c_nationkey").alias("k")), table(spark, d, "supplier").select(F.col("s_nationkey").alias("k")))
 
 
 @query("check_ohlc_violations", f"""WITH {RAW}, v AS (SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey, concat_ws(',', CASE WHEN high < low THEN 'HIGH_BELOW_LOW' END, CASE WHEN open < low OR open > high THEN 'OPEN_OUTSIDE' END, CASE WHEN close < low OR close > high THEN 'CLOSE_OUTSIDE' END,
