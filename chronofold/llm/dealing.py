@@ -2,7 +2,8 @@
 
 A batch's (document, key) entries are dealt to buckets by key and travel as one binary row per bucket: the documents,
 how many keys each has, and the keys. A row per entry would cost several times the bytes and far more time. Buckets
-hold about ENTRIES entries each, so their number grows with the input and a task's memory does not.
+hold about ENTRIES entries each, and each task takes BUCKETS_A_TASK of them, so that the numbers of both grow with the
+input and a task's memory does not.
 """
 
 from __future__ import annotations
@@ -12,9 +13,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chronofold.llm.session import release
 from chronofold.llm.words import mix
 
-ENTRIES, LEAST_BUCKETS = 1_500_000, 32
+ENTRIES, LEAST_BUCKETS, BUCKETS_A_TASK = 1_000_000, 32, 2
 SCHEMA = "bucket int, section int, blob binary"
 ANSWERS = "doc_id bigint, blob binary"
 
@@ -23,6 +25,16 @@ def buckets_for(entries: float) -> int:
     return max(LEAST_BUCKETS, -(-int(entries) // ENTRIES))
 
 
+def in_buckets(dealt: DataFrame, buckets: int, f, schema: str) -> DataFrame:
+    """f(table of a bucket's rows) of each bucket, in as many tasks as the buckets ask for."""
+
+    def run(table: pa.Table) -> pa.Table:
+        release()  # of the bucket before
+        return f(table)
+
+    return dealt.repartition(-(-buckets // BUCKETS_A_TASK), "bucket").groupBy("bucket").applyInArrow(run, schema)
+
+
 def text_bytes(docs: DataFrame, text_col: str) -> int:
     return docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
 

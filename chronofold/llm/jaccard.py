@@ -5,18 +5,21 @@ a >= 0.75 b, and then differ in at most (a + b) / 7 elements. Sizes are cut into
 the sets a little larger that they may link with, share one partition of the element domain into n parts. A set that
 may differ from its partners in k elements agrees with each on all but k parts. The subset of a set that falls into
 one part is a signature, a hash; a set with v parts that are not empty agrees with any partner on at least v - k of
-those. There are more parts than elements, so that what unrelated texts have in common rarely makes up v - k of them. Signatures are therefore counted first, and each set keeps, of those that another set has too, all but its
+those. There are more parts than elements, so that what unrelated texts have in common rarely makes up v - k of them.
+Signatures are therefore counted first, and each set keeps, of those that another set has too, all but its
 v - k - 1 most frequent ones: two linked sets still share one, and what many unrelated texts have in common drops out.
 A set with v <= k also signs its empty parts and keeps all.
 
 Sets that share a kept signature form a group. Each group's members are verified against its first one, and links are
 joined to components; in groups that still hold several components all members are compared in blocks, without a row
-per pair. Every verification counts the intersection exactly. Texts with equal
-sets are one node throughout (a 64-bit hash of the set), so copies cost nothing.
+per pair. A group of a signature that SPLIT sets or more have is dealt out by its members: each slice is verified
+against a first member of its own, and those against the first of them. Every verification counts the intersection
+exactly. Texts with equal sets are one node throughout (a 64-bit hash of the set), so copies cost nothing.
 
 Defined results: a null text or one without words has an empty set, is linked with nothing and its own component; a
 text of fewer than WIDTH words has one shingle, all of it; rows that repeat an id are documents of their own under one
-id; other columns are ignored (keep_first() keeps them); an empty table gives an empty table.
+id; a null id is no candidate for the smallest one, and a component without an id has a null component_id; other
+columns are ignored (keep_first() keeps them); an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -25,22 +28,28 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronofold.llm import dealing
 from chronofold.llm import words as W
 from chronofold.llm.components import components
-from chronofold.llm.session import bounded_batches, store
+from chronofold.llm.session import bounded_batches, release, store
 
 WIDTH, NUMERATOR, DENOMINATOR = 5, 3, 4
 #: Bytes of sets in a block that is compared with others, pairs of it and occurrences that are looked at at once.
-BLOCK_BYTES, COMPARED, OCCURRENCES = 1 << 20, 1 << 18, 1 << 22
+BLOCK_BYTES, COMPARED, OCCURRENCES = 1 << 20, 1 << 18, 1 << 20
+#: Bytes of texts whose signatures are made at once.
+SIGN_BYTES = 1 << 20
 #: Parts beyond the largest size of a band, so that what many texts share lies in parts of its own.
 SPARE = 30
 #: Sets of one batch that share a signature make it one of the most frequent everywhere, without counting on.
 HOT = 64
 HOT_COUNT = (1 << 16) - 1
+#: A signature of so many sets has its group dealt out by member; values that a join on a group, which may be large, is salted with.
+SPLIT, SALTS = 4096, 16
+#: Kinds of rows that groups give out: a pair to verify, a member of a group, the first member of a slice of a group.
+PAIR, MEMBER, SLICE = range(3)
 
 
 @lru_cache(maxsize=4096)
@@ -129,22 +138,24 @@ def signatures(size: np.ndarray, text: np.ndarray, value: np.ndarray) -> tuple[n
 
 
 def _profile(batches):
-    """Rows of doc_id, node, n and, for each band, band % 4 and the guaranteed agreements."""
+    """Rows of doc_id, row, node, n and, for each band, band % 4 and the guaranteed agreements."""
     for batch in batches:
-        for a, b, block in W.blocks(batch.column(1), W.BLANKS, True):
+        for a, b, block in W.blocks(batch.column(2), W.BLANKS, True, SIGN_BYTES):
             text, value = shingles(block)
             size, node = nodes(text, value, b - a)
             _, _, meta = signatures(size, text, value)
             sure: list[list[int]] = [[] for _ in range(b - a)]
             for d, j, r in meta:
                 sure[d] += [j, r]
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(node, pa.int64()), pa.array(size, pa.int64()), pa.array(sure, pa.list_(pa.int32()))], ["doc_id", "node", "n", "sure"])
+            own = [batch.column(c).slice(a, b - a) for c in range(2)]
+            yield pa.RecordBatch.from_arrays([*own, pa.array(node, pa.int64()), pa.array(size, pa.int64()), pa.array(sure, pa.list_(pa.int32()))], ["doc_id", "row", "node", "n", "sure"])
+    release()
 
 
 def _sign(buckets: int):
     def run(batches):
         for batch in batches:
-            for a, b, block in W.blocks(batch.column(0), W.BLANKS, True):
+            for a, b, block in W.blocks(batch.column(0), W.BLANKS, True, SIGN_BYTES):
                 text, value = shingles(block)
                 size, node = nodes(text, value, b - a)
                 once = np.zeros(b - a, bool)
@@ -163,10 +174,16 @@ def _sign(buckets: int):
                 out += dealing.deal(1, dealing.by_document(who[hot], buckets), who[hot], key[hot])
                 out += dealing.deal(2, dealing.by_key(marks, buckets), np.zeros(marks.size, np.int64), marks)
                 yield dealing.rows(out)
+        release()
 
     return run
 
 
+def is_split(key: np.ndarray) -> np.ndarray:
+    """Whether keys as ordered() makes them are of groups that are dealt out by member."""
+    return key >> np.uint64(48) >= np.uint64(SPLIT)
+
+
 def ordered(key: np.ndarray, count: np.ndarray) -> np.ndarray:
     """Keys that sort by frequency first; their two lowest bits stay."""
     return np.minimum(count, HOT_COUNT).astype(np.uint64) << np.uint64(48) | (key >> np.uint64(18)) << np.uint64(2) | key & np.uint64(3)
@@ -191,7 +208,7 @@ def _count(table: pa.Table) -> pa.Table:
 
 
 def _keep(buckets: int):
-    """Of each set, the kept signatures."""
+    """Of each set, the kept signatures; those of very many sets go by the set, so that no bucket gets all of a group."""
 
     def run(batches):
         for batch in batches:
@@ -207,13 +224,16 @@ def _keep(buckets: int):
                         who.append(np.full(own.size, node))
             if key:
                 who, key = np.concatenate(who), np.concatenate(key)
-                yield dealing.rows(dealing.deal(0, dealing.by_key(W.mix(key), buckets), who, key))
+                bucket = np.where(is_split(key), dealing.by_document(who, buckets), dealing.by_key(W.mix(key), buckets))
+                yield dealing.rows(dealing.deal(0, bucket, who, key))
+        release()
 
     return run
 
 
 def _groups(table: pa.Table) -> pa.Table:
-    """group (null for a first pair), a, b: pairs of every group's first member with the others; members of groups of three or more."""
+    """kind, a, b: PAIRs of every group's first member with the others; MEMBERs (signature, set) of groups of three or
+    more, and SLICEs (signature, first member here) of groups that other buckets hold parts of."""
     who, key, _ = dealing.gather(table, 0)
     order = np.lexsort((W.mix(who.view(np.uint64)), key))
     who, key = who[order], key[order]
@@ -230,9 +250,11 @@ def _groups(table: pa.Table) -> pa.Table:
         x, y = x[order], y[order]
         keep = np.append(True, (x[1:] != x[:-1]) | (y[1:] != y[:-1]))
         x, y = x[keep], y[keep]
-    many = size > 2
-    kind = np.concatenate([np.zeros(x.size, bool), np.ones(int(many.sum()), bool)])
-    return pa.table([pa.array(kind), pa.array(np.concatenate([x, key[many].view(np.int64)]), pa.int64()), pa.array(np.concatenate([y, who[many]]), pa.int64())], ["member", "a", "b"])
+    apart = is_split(key)
+    many, first = (size > 2) | apart, head & apart
+    kind = np.repeat(np.array([PAIR, MEMBER, SLICE], np.int32), [x.size, int(many.sum()), int(first.sum())])
+    a, b = np.concatenate([x, key[many].view(np.int64), key[first].view(np.int64)]), np.concatenate([y, who[many], who[first]])
+    return pa.table([pa.array(kind), pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["kind", "a", "b"])
 
 
 def _sets(batches):
@@ -242,6 +264,7 @@ def _sets(batches):
             size, node = nodes(text, value, b - a)
             edges, raw = (8 * np.concatenate([[0], np.cumsum(size)])).tolist(), value.tobytes()
             yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array([raw[i:j] for i, j in zip(edges, edges[1:])], pa.binary())], ["node", "set"])
+    release()
 
 
 def _verify(batches):
@@ -265,35 +288,50 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return full.where(close).select("a", "b", "p", "q").mapInArrow(_verify, "u bigint, v bigint")
 
 
+def _salted(left: DataFrame, right: DataFrame, key: str, by: str) -> DataFrame:
+    """left joined with the one row of right that has its key; a key of very many rows of left is dealt out by another column."""
+    salt = F.pmod(F.xxhash64(by, F.lit(31)), F.lit(SALTS)).cast("int")
+    every = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return left.withColumn("_salt", salt).join(every, [key, "_salt"]).drop("_salt")
+
+
 def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(doc_id, node, n of each document; node, label of linked nodes)."""
+    """(doc_id, row, node, n of each row; node, label of linked nodes). row: a hash of id and text."""
     bounded_batches(docs.sparkSession)
-    slim = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    profile = store(slim.mapInArrow(_profile, "doc_id bigint, node bigint, n bigint, sure array<int>"), "profile")
+    id_, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    slim = docs.select(id_.cast("bigint").alias("doc_id"), row_hash(id_, text).alias("row"), text.alias("text"))
+    profile = store(slim.mapInArrow(_profile, "doc_id bigint, row bigint, node bigint, n bigint, sure array<int>"), "profile")
     total = profile.agg(F.sum("n")).first()[0] or 0
     buckets = dealing.buckets_for(0.9 * total)
-    counted = slim.select("text").mapInArrow(_sign(buckets), dealing.SCHEMA).groupBy("bucket").applyInArrow(_count, dealing.ANSWERS)
+    counted = dealing.in_buckets(slim.select("text").mapInArrow(_sign(buckets), dealing.SCHEMA), buckets, _count, dealing.ANSWERS)
     counted = store(counted, "signatures")
-    of_node = profile.where("n > 0").groupBy("node").agg(F.first("sure").alias("sure"), F.min("doc_id").alias("doc_id"))
+    of_node = profile.where("n > 0").groupBy("node").agg(F.first("sure").alias("sure"), F.min("row").alias("row"))
     held = dealing.of_documents(counted).join(of_node.select(F.col("node").alias("doc_id"), "sure"), "doc_id").select("doc_id", "blobs", "sure")
-    met = held.mapInArrow(_keep(buckets), dealing.SCHEMA).groupBy("bucket").applyInArrow(_groups, "member boolean, a bigint, b bigint")
+    met = dealing.in_buckets(held.mapInArrow(_keep(buckets), dealing.SCHEMA), buckets, _groups, "kind int, a bigint, b bigint")
     met = store(met, "groups")
-    pairs = met.where("not member").select("a", "b").distinct()
-    members = met.where("member").select(F.col("a").alias("key"), F.col("b").alias("node"))
+    slices = met.where(F.col("kind") == SLICE).select(F.col("a").alias("key"), F.col("b").alias("node"))
+    tops = slices.groupBy("key").agg(F.min("node").alias("top"))
+    across = slices.join(tops, "key").where("node <> top").select(F.col("top").alias("a"), F.col("node").alias("b"))
+    pairs = met.where(F.col("kind") == PAIR).select("a", "b").unionByName(across).distinct()
+    members = met.where(F.col("kind") == MEMBER).select(F.col("a").alias("key"), F.col("b").alias("node"))
     touched = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    ids = touched.join(of_node.select("node", "doc_id"), "node").select("doc_id").distinct()
-    sets = slim.join(ids, "doc_id", "left_semi").select("text").mapInArrow(_sets, "node bigint, set binary")
+    rows = touched.join(of_node.select("node", "row"), "node").select("row").distinct()
+    sets = slim.join(rows, "row", "left_semi").select("text").mapInArrow(_sets, "node bigint, set binary")
     sets = store(sets.groupBy("node").agg(F.first("set").alias("set")), "sets")
     edges = store(_linked(pairs, sets), "edges")
     labels = components(edges)
     named = members.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
     several = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
-    named = store(named.join(several, "key"), "open")
+    named = store(_salted(named, several, "key", "node"), "open")
     if named.isEmpty():
         return profile, labels
     return profile, components(edges.unionByName(store(_across(named, sets), "across")))
 
 
+def row_hash(id_: Column, text: Column) -> Column:
+    return F.xxhash64(id_, text, id_.isNull(), text.isNull())
+
+
 def _across(named: DataFrame, sets: DataFrame) -> DataFrame:
     """u, v: links between components within the groups (key, node, label), at least one for each two components that a
     group's members link.
@@ -303,10 +341,10 @@ def _across(named: DataFrame, sets: DataFrame) -> DataFrame:
     which counts intersections from an inverted list and gives out links only, no pairs."""
     often = named.groupBy("node").agg(F.count(F.lit(1)).alias("keys"))
     lead = named.join(often, "node").groupBy("key").agg(F.max(F.struct("keys", "node"))["node"].alias("lead"))
-    together = named.join(lead, "key").select("lead", "node", "label").distinct()
+    together = _salted(named, lead, "key", "node").select("lead", "node", "label").distinct()
     held = together.join(sets, "node")
     weight = held.groupBy("lead").agg(F.ceil(F.sum(F.octet_length("set")) / BLOCK_BYTES).cast("int").alias("blocks"))
-    held = held.join(weight, "lead").withColumn("block", F.pmod(F.xxhash64("node", F.lit(29)), "blocks").cast("int"))
+    held = _salted(held, weight, "lead", "node").withColumn("block", F.pmod(F.xxhash64("node", F.lit(29)), "blocks").cast("int"))
     dealt = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("lead", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "label", "set")
     return dealt.groupBy("lead", "i", "j").applyInArrow(_compare, "u bigint, v bigint")
@@ -351,17 +389,33 @@ def _compare(table: pa.Table) -> pa.Table:
     return pa.table([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
 
+def _firsts(profile: DataFrame, labels: DataFrame) -> DataFrame:
+    """node and first (none: whether the id is null, doc_id, row) of each node's component, the smallest."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
+    of_node = profile.where("n > 0").groupBy("node").agg(first)
+    linked = labels.select("node", "label").unionByName(labels.select(F.col("label").alias("node"), "label").distinct())
+    least = linked.join(of_node, "node").groupBy("label").agg(F.min("first").alias("better"))
+    better = _salted(linked, least, "label", "node").select("node", "better")
+    return of_node.join(better, "node", "left").select("node", F.coalesce("better", "first").alias("first"))
+
+
 def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest id reachable by links) of each document."""
     profile, labels = link(docs, id_col, text_col)
-    named = profile.join(labels, "node", "left").select("doc_id", "n", F.coalesce("label", "node").alias("label"))
-    least = named.where("n > 0").groupBy("label").agg(F.min("doc_id").alias("least"))
-    alone = F.col("n") == 0
-    out = named.withColumn("label", F.when(~alone, F.col("label"))).join(least, "label", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(alone, F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
+    named = profile.join(_firsts(profile, labels), "node", "left")
+    return named.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("component_id"))
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs, all their columns, whose id is the smallest of their group."""
-    kept = group(docs, id_col, text_col).where("doc_id = component_id").select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(store(kept, "kept"), id_col, "left_semi").select(*docs.columns)
+    """One row of docs, all its columns, of each group: that with the smallest id.
+
+    Rows without words are in no group and stay. A row with a null id stays only where its group has no other id, and
+    then one of them does; of rows that repeat an id and belong to one group one text stays; and of rows that repeat
+    both id and text one row."""
+    profile, labels = link(docs, id_col, text_col)
+    kept = _firsts(profile, labels).select(F.col("first.row").alias("_row")).unionByName(profile.where("n = 0").select(F.col("row").alias("_row")))
+    kept = store(kept.distinct(), "kept")
+    id_, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    rows = docs.withColumn("_row", row_hash(id_, text)).join(kept, "_row", "left_semi")
+    one = Window.partitionBy("_row").orderBy("_row")
+    return rows.withColumn("_nth", F.row_number().over(one)).where("_nth = 1").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -173,9 +173,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 def keep_good(docs: DataFrame, model: Model, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
     """The rows of docs, all their columns, that score threshold or more."""
-    names = docs.columns
-    slim = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), F.col(text_col).alias("_text"))
-    judged = statistics(slim, "_text", ("_row",)).select("_row", (model.column() >= threshold).alias("_good"))
-    # a filter would be pushed below the statistics, which every rule would then compute anew
-    kept = judged.select(F.explode(F.when(F.col("_good"), F.array("_row"))).alias("_row"))
-    return kept.select(*[F.col(f"_row.`{c}`").alias(c) for c in names])
+    own = [f"_c{i}" for i in range(len(docs.columns))]
+    slim = docs.select(*[F.col(f"`{c}`").alias(o) for c, o in zip(docs.columns, own)], F.col(f"`{text_col}`").alias("_text"))
+    # beside a column that is not deterministic the filter stays above the statistics, which every rule would else compute anew
+    judged = statistics(slim, "_text", tuple(own)).select(*own, (model.column() >= threshold).alias("_good"), F.monotonically_increasing_id().alias("_at"))
+    return judged.where("_good AND _at >= 0").select(*[F.col(o).alias(c) for c, o in zip(docs.columns, own)])

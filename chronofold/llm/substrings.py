@@ -153,10 +153,10 @@ def removable_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     slim = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")).where(F.col("doc_id").isNotNull())
     words = dealing.text_bytes(slim, "text") / 6
     buckets = dealing.buckets_for(words * len(COVER) / PERIOD)
-    shared = slim.mapInArrow(_find_anchors(buckets), dealing.SCHEMA).groupBy("bucket").applyInArrow(_shared_anchors, dealing.ANSWERS)
+    shared = dealing.in_buckets(slim.mapInArrow(_find_anchors(buckets), dealing.SCHEMA), buckets, _shared_anchors, dealing.ANSWERS)
     shared = store(shared, "anchors")
     held = slim.join(dealing.of_documents(shared), "doc_id").select("doc_id", "text", "blobs")
-    removable = held.mapInArrow(_find_windows(buckets), dealing.SCHEMA).groupBy("bucket").applyInArrow(_removable, dealing.ANSWERS)
+    removable = dealing.in_buckets(held.mapInArrow(_find_windows(buckets), dealing.SCHEMA), buckets, _removable, dealing.ANSWERS)
     return dealing.of_documents(store(removable, "windows"))
 
 
