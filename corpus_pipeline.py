@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from chronofold.llm import bpe, decontamination, jaccard, pii, quality
 from chronofold.llm.labelled import crc_mod
-from chronofold.llm.registry import PII_KEY, VOCABULARY
+from chronofold.llm.registry import VOCABULARY, pii_key
 from chronofold.llm.session import shared_dir
 
 
@@ -32,7 +32,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pseudonymised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Private data get keyed pseudonyms of their own format."""
-    return pii.pseudonymise(docs, PII_KEY, count_col=None, size_col="n_chars")
+    return pii.pseudonymise(docs, pii_key(spark), count_col=None, size_col="n_chars")
 
 
 def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
