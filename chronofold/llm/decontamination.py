@@ -6,8 +6,8 @@ A word is hit where a match of LENGTH words (or a whole item of fewer words) cov
 neighbours that no item has side by side, end any match, so only runs of known neighbours that are long enough to
 hold a window are streamed; the rest of the text is passed over in numpy.
 
-The benchmark is split into shards of SHARD_WORDS words, so that what is broadcast and held at once stays bounded
-however large it gets; a document's words meet one shard after the other.
+The benchmark is split into shards of about SHARD_WORDS words, each built by a task. The driver passes them on one after
+another as the bytes that came from the task, and holds one at a time; a document's words meet one shard after the other.
 
 Defined results: a null or empty text or item has no words (no hit, no window); a repeated item counts once by its
 id; repeated documents get a row each; an empty benchmark hits nothing; other columns stay as they are.
@@ -16,17 +16,21 @@ id; repeated documents get a row each; an empty benchmark hits nothing; other co
 from __future__ import annotations
 
 import hashlib
+import pickle
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from chronofold.llm import words as W
-from chronofold.llm.session import bounded_batches
+from chronofold.llm.session import bounded_batches, release
 
 LENGTH = 10
 SHARD_WORDS = 50_000
-#: Shards that a worker keeps loaded; with more, each is loaded anew for each batch.
+#: Bytes of a word and what parts it from the next, as a guess that the number of shards follows from.
+WORD_BYTES = 6
+#: Shards that a task keeps loaded; any further one is loaded anew for each batch.
 KEPT_SHARDS = 4
 
 
@@ -179,45 +183,52 @@ class Automaton:
 
 
 def shards(benchmark: DataFrame, length: int = LENGTH, item_col: str = "item_id", text_col: str = "text"):
-    """Automata over the benchmark's items, SHARD_WORDS words or one item each; rows come to the driver one after another."""
-    current, held = Automaton(length), 0
-    for row in benchmark.select(item_col, text_col).toLocalIterator():
-        for _, _, block in W.blocks(pa.array([row[1]], pa.string()), W.MARKS, True):
-            hashes = block.hashes().tolist()
-            if not hashes:
-                continue
-            if held and held + len(hashes) > SHARD_WORDS:
-                yield current.finish()
-                current, held = Automaton(length), 0
-            current.add(str(row[0]), hashes)
-            held += len(hashes)
-    if held:
-        yield current.finish()
+    """Automata over the benchmark's items, pickled, about SHARD_WORDS words or one item each. A task builds each."""
+    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text")).where("item IS NOT NULL AND text IS NOT NULL").distinct()
+    n = max(1, -(-(items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // (WORD_BYTES * SHARD_WORDS)))
+
+    def build(table: pa.Table) -> pa.Table:
+        made = Automaton(length)
+        for at, _, block in W.blocks(table["text"], W.MARKS, True):
+            hashes, first = block.hashes().tolist(), block.first.tolist()
+            for d, item in enumerate(table["item"].slice(at, block.n).to_pylist()):
+                if first[d] < first[d + 1]:
+                    made.add(item, hashes[first[d] : first[d + 1]])
+        return pa.table([pa.array([pickle.dumps(made.finish())], pa.binary())], ["automaton"])
+
+    dealt = items.withColumn("shard", F.pmod(F.xxhash64("item", "text"), F.lit(n)).cast("int")).repartition(n, "shard")
+    for row in dealt.groupBy("shard").applyInArrow(build, "automaton binary").toLocalIterator():
+        yield bytes(row[0])
 
 
 def _scan(docs: DataFrame, benchmark: DataFrame, length: int, text_col: str, make, schema):
     """make(batch, per text (n_words, hit words' numbers in the text, items, spans of bytes)) -> RecordBatch."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    sent = [spark.sparkContext.broadcast(a) for a in shards(benchmark, length)]
+    sent = [spark.sparkContext.broadcast(automaton) for automaton in shards(benchmark, length)]
 
     def run(batches):
+        held: dict[int, Automaton] = {}
         for batch in batches:
             results = [(0, np.empty(0, np.int64), set(), None, None)] * batch.num_rows
             parts = list(W.blocks(batch.column(text_col), W.MARKS, True))
             for at, _, block in parts:
                 for d, n in enumerate(block.counts.tolist()):
                     results[at + d] = (n, np.empty(0, np.int64), set(), None, None)
-            for shipped in sent:
-                automaton = shipped.value
+            for number, shipped in enumerate(sent):
+                if (automaton := held.get(number)) is None:
+                    automaton = pickle.loads(shipped.value)
+                    del shipped._value
+                    if number < KEPT_SHARDS:
+                        held[number] = automaton
                 for at, _, block in parts:
                     for d, hit, items in automaton.hits(block.hashes(), block.first):
                         n, before, old, _, _ = results[at + d]
                         lo = int(block.first[d])
                         results[at + d] = (n, np.union1d(before, hit - lo), old | items, block, d)
-                if len(sent) > KEPT_SHARDS:
-                    del automaton, shipped._value
+                del automaton
             yield make(batch, results)
+        release()
 
     return docs.mapInArrow(run, schema)
 
