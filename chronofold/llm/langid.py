@@ -6,8 +6,8 @@ offsets is looked up at once in a table of byte pairs. Each filter keeps its lar
 softmax layer turns those into class probabilities, and a document's probability is the mean of its windows' log
 probabilities, by their bytes, normalised again.
 
-Defined results: a null text, an empty one and one without a letter are `und` with score 0; repeated rows get a row
-each; other columns are ignored; without a labelled row every text is `und`; an empty table gives an empty table.
+Defined results: a null text, an empty one and one without a letter are `und` with score 0; equally likely languages
+give the first by name; repeated rows get a row each; other columns are ignored; without a labelled row every text is `und`; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -19,12 +19,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronofold.llm import labelled
-from chronofold.llm.session import bounded_batches
+from chronofold.llm.session import bounded_batches, release
 
 WINDOW, WIDTHS, FILTERS = 256, (2, 3, 4), 8
-#: Training windows in all, shared out among the languages; bytes-to-be of each.
-SAMPLE_WINDOWS = 4000
-EPOCHS, BATCH, RATE = 12, 64, 0.02
+#: Training documents in all, shared out among the languages, and bytes of all of them.
+SAMPLE_DOCS, SAMPLE_BYTES = 1200, 4 << 20
+EPOCHS, BATCH, RATE = 4, 64, 0.02
 #: Windows that are scored at once.
 CHUNK = 1024
 UNDETERMINED = "und"
@@ -121,22 +121,22 @@ class ByteCNN:
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> ByteCNN | None:
-    """Fit on SAMPLE_WINDOWS windows, one of a document, as many of each language; the place of the window in its text follows from a hash of the id."""
+    """Fit on all windows of the whole texts of SAMPLE_DOCS documents, as many of each language, or of as many as SAMPLE_BYTES hold."""
     slim = docs.select(id_col, F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    n_langs = slim.select("lang").where(F.col("lang").isNotNull()).distinct().count()
+    n_langs = min(labelled.MOST_CLASSES, slim.select("lang").where(F.col("lang").isNotNull()).distinct().count())
     if not n_langs:
         return None
-    ids, _ = labelled.sample(slim.select(id_col, "lang", "text").where(F.col("text").rlike(r"\p{L}")).select(id_col, "lang"), id_col, "lang", max(8, SAMPLE_WINDOWS // n_langs))
-    ids = ids.select(id_col).distinct()
-    start = 1 + F.pmod(F.xxhash64(id_col), F.greatest(F.length("text") - WINDOW, F.lit(1)))
-    rows = slim.join(F.broadcast(ids), id_col).select(id_col, "lang", F.col("text").substr(start.cast("int"), F.lit(WINDOW)).alias("part")).where(F.col("lang").isNotNull())
-    got = sorted((str(r[0]), r[1], r[2]) for r in rows.limit(4 * SAMPLE_WINDOWS + 64 * n_langs).collect() if r[2])
+    ids, shares = labelled.sample(slim.where(F.col("text").rlike(r"\p{L}")).select(id_col, "lang"), id_col, "lang", max(8, SAMPLE_DOCS // n_langs))
+    rows = slim.join(F.broadcast(ids.select(id_col).distinct()), id_col).where(F.col("lang").isin(*shares) if shares else F.lit(False))
+    got = sorted((str(r[0]), r[1], r[2]) for r in labelled.within_bytes(rows, id_col, "text", SAMPLE_BYTES).collect() if r[2])
     if not got:
         return None
     classes = sorted({r[1] for r in got})
     at = {k: i for i, k in enumerate(classes)}
-    x = np.frombuffer(b"".join(r[2].encode()[:WINDOW].ljust(WINDOW, b" ") for r in got), np.uint8).reshape(-1, WINDOW)
-    return ByteCNN(classes).fit(x, np.array([at[r[1]] for r in got]))
+    texts = [r[2].encode() for r in got]
+    counts = [-(-len(t) // WINDOW) for t in texts]
+    x = np.frombuffer(b"".join(t.ljust(c * WINDOW, b" ") for t, c in zip(texts, counts)), np.uint8).reshape(-1, WINDOW)
+    return ByteCNN(classes).fit(x, np.repeat([at[r[1]] for r in got], counts))
 
 
 def predict(docs: DataFrame, model: ByteCNN | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -159,5 +159,6 @@ def predict(docs: DataFrame, model: ByteCNN | None, id_col: str = "doc_id", text
                 for i, (k, q) in zip(good[at : at + 64], net.predict([texts[i].encode() for i in good[at : at + 64]])):
                     langs[i], scores[i] = k, min(1.0, max(0.0, q))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [id_col, "lang_pred", "score"])
+        release()
 
     return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, lang_pred string, score double")

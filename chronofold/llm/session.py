@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import re
 import tempfile
 import uuid
 
@@ -21,13 +22,22 @@ def bounded_batches(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that all executors share (spark.checkpoint.dir); a local one only where that is unset, as in tests."""
+    """A new path in the folder that all executors share (spark.checkpoint.dir); a local one only where that is unset and all
+    runs in one process, as in tests. On a cluster a local folder would lose rows, so there it is an error."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir names no folder that the executors share")
         root = f"file://{tempfile.gettempdir()}/chronofold-shared"
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def dropped(spark: SparkSession, path: str) -> None:
+    """Delete a table below the shared folder that nothing reads any more."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write df to the shared folder, free the shuffle files of that job, and read it again."""
     spark = df.sparkSession

@@ -23,6 +23,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chronofold.llm import labelled
 from chronofold.llm.session import bounded_batches
 
 #: Fixed values of the formats: frame magics, and the profile of a revisit.
@@ -30,8 +31,8 @@ DICTIONARY_MAGIC, SKIPPABLE_MAGIC, FRAME_MAGIC = 0x184D2A5D, 0x184D2A50, 0xFD2FB
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: An empty skippable frame; all its bytes are ASCII.
 SEPARATOR = struct.pack("<II", SKIPPABLE_MAGIC, 0)
-#: Records, and bytes of each, that the dictionary is trained on; its size; the level of compression.
-SAMPLE_RECORDS, SAMPLE_BYTES, DICTIONARY_BYTES, LEVEL = 1000, 8192, 65536, 5
+#: Records that the dictionary is trained on, and bytes of all of them; its size; the level of compression.
+SAMPLE_RECORDS, SAMPLE_BYTES, DICTIONARY_BYTES, LEVEL = 1000, 32 << 20, 65536, 5
 DATE = "1970-01-01T00:00:00Z"
 
 
@@ -39,11 +40,16 @@ def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
+def urn(id_: object) -> str:
+    """The identifier of a record; a null id has one of its own."""
+    return "<urn:null>" if id_ is None else f"<urn:page:{quote(str(id_), safe='')}>"
+
+
 def record(id_: object, url: str | None, payload: bytes, refers_to: object | None) -> bytes:
     """One WARC record; a revisit has no payload of its own but keeps its digest and length."""
     fields = [
         ("WARC-Type", "response" if refers_to is None else "revisit"),
-        ("WARC-Record-ID", f"<urn:page:{id_}>"),
+        ("WARC-Record-ID", urn(id_)),
         ("WARC-Date", DATE),
         ("WARC-Target-URI", quote(url or "about:blank", safe=":/?#[]@!$&'()*+,;=%-._~")),
         ("WARC-Payload-Digest", f"sha1:{digest(payload)}"),
@@ -51,7 +57,7 @@ def record(id_: object, url: str | None, payload: bytes, refers_to: object | Non
         ("Content-Type", "application/http; msgtype=response"),
     ]
     if refers_to is not None:
-        fields += [("WARC-Profile", REVISIT_PROFILE), ("WARC-Refers-To", f"<urn:page:{refers_to}>")]
+        fields += [("WARC-Profile", REVISIT_PROFILE), ("WARC-Refers-To", urn(refers_to))]
     head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = head + (payload if refers_to is None else b"")
     fields.append(("Content-Length", str(len(block))))
@@ -94,12 +100,13 @@ def frames(data: memoryview) -> Iterator[tuple[int, memoryview]]:
 
 
 def train(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> bytes:
-    """A dictionary trained on SAMPLE_RECORDS records, chosen by a hash of the id, SAMPLE_BYTES of each."""
+    """A dictionary trained on SAMPLE_RECORDS whole records, chosen by a hash of the id, or as many as SAMPLE_BYTES hold."""
     n = pages.count()
     share = min(1.0, 1.2 * SAMPLE_RECORDS / max(n, 1))
     rows = pages.where(F.pmod(F.xxhash64(id_col), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
-    rows = rows.select(id_col, url_col, F.substring(F.coalesce(payload_col, F.lit("")), 1, SAMPLE_BYTES)).limit(SAMPLE_RECORDS).collect()
-    samples = [record(r[0], r[1], r[2].encode()[:SAMPLE_BYTES], None) for r in sorted(rows, key=lambda r: str(r[0]))]
+    chosen = rows.select(id_col, url_col, F.coalesce(payload_col, F.lit("")).alias("payload")).limit(SAMPLE_RECORDS)
+    rows = labelled.within_bytes(chosen, id_col, "payload", SAMPLE_BYTES).collect()
+    samples = [record(r[0], r[1], r[2].encode(), None) for r in sorted(rows, key=lambda r: str(r[0]))]
     try:
         return zstandard.train_dictionary(min(DICTIONARY_BYTES, sum(map(len, samples)) // 4), samples, level=LEVEL).as_bytes()
     except zstandard.ZstdError:  # too little to train on: a plain record serves as content
@@ -143,8 +150,10 @@ def read(spark: SparkSession, path: str, id_type: str = "bigint", with_payload:
     number = id_type in ("tinyint", "smallint", "int", "bigint")
 
     def as_id(text: str | None):
-        text = None if text is None else text[len("<urn:page:") : -1]
-        return None if text in (None, "None") else int(text) if number else text
+        if text is None or text == urn(None):
+            return None
+        text = unquote(text[len("<urn:page:") : -1])
+        return int(text) if number else text
 
     def rows_of(content: bytes):
         decompressor = zstandard.ZstdDecompressor()
@@ -154,9 +163,10 @@ def read(spark: SparkSession, path: str, id_type: str = "bigint", with_payload:
             elif magic == FRAME_MAGIC:
                 fields, payload = parse(decompressor.decompress(frame))
                 kind, sha = fields["WARC-Type"], fields["WARC-Payload-Digest"].removeprefix("sha1:")
+                size = int(fields["X-Payload-Length"]) if kind == "revisit" else len(payload)
                 if kind == "response" and digest(payload) != sha:
                     raise ValueError(f"damaged payload in {fields['WARC-Record-ID']}")
-                row = (as_id(fields["WARC-Record-ID"]), int(fields["X-Payload-Length"]), sha, kind, as_id(fields.get("WARC-Refers-To")), unquote(fields["WARC-Target-URI"]))
+                row = (as_id(fields["WARC-Record-ID"]), size, sha, kind, as_id(fields.get("WARC-Refers-To")), unquote(fields["WARC-Target-URI"]))
                 yield (*row, payload if kind == "response" else None) if with_payload else row
 
     def run(batches):
