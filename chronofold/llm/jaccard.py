@@ -415,7 +415,9 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     profile, labels = link(docs, id_col, text_col)
     kept = _firsts(profile, labels).select(F.col("first.row").alias("_row")).unionByName(profile.where("n = 0").select(F.col("row").alias("_row")))
     kept = store(kept.distinct(), "kept")
-    id_, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
-    rows = docs.withColumn("_row", row_hash(id_, text)).join(kept, "_row", "left_semi")
+    own = [f"_c{i}" for i in range(len(docs.columns))]
+    row = row_hash(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).alias("_row")
+    rows = docs.select(row, *[F.col(f"`{c}`").alias(o) for c, o in zip(docs.columns, own)]).join(kept, "_row", "left_semi")
     one = Window.partitionBy("_row").orderBy("_row")
-    return rows.withColumn("_nth", F.row_number().over(one)).where("_nth = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = rows.withColumn("_nth", F.row_number().over(one)).where("_nth = 1")
+    return rows.select(*[F.col(o).alias(c) for c, o in zip(docs.columns, own)])

@@ -117,7 +117,9 @@ def fit(texts: list[str], labels: list[int], shares: dict[int, float]) -> Model:
     classes = Counter(labels)
     if len(classes) < 2:
         return Model(b" ", b" ", [1 << 20] * (WINDOW + 1), (0.0, 0.0), 30.0 if classes.get(1) else -30.0)
-    bags = [windows(t) for t in texts]
+    shared: dict[str, str] = {}  # one copy of a word that many texts hold
+    bags = [{shared.setdefault(w, w) for w in windows(t)} for t in texts]
+    del shared
     toxic, ordinary = dictionaries(texts, bags, labels)
     gains = Gains(toxic, ordinary)
     calm = calibrating(labels)
