@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronofold.llm.session import store
+from chronofold.llm.session import forget, store
 
 
 def _contract(batches):
@@ -48,8 +48,11 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        stars = store(small, "stars")
+        before, stars = stars, store(small, "stars")
+        forget(before)
         chained = stars.join(stars.select(F.col("u").alias("v")).distinct(), "v", "left_semi")
         forked = stars.groupBy("u").count().where("count > 1")
         if chained.isEmpty() and forked.isEmpty():
-            return stars.select(F.col("u").alias("node"), F.col("v").alias("label"))
+            labels = stars.select(F.col("u").alias("node"), F.col("v").alias("label"))
+            labels.stored_at = stars.stored_at
+            return labels

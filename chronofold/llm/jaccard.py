@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from chronofold.llm import dealing
 from chronofold.llm import words as W
 from chronofold.llm.components import components
-from chronofold.llm.session import bounded_batches, release, store
+from chronofold.llm.session import bounded_batches, forget, release, store
 
 WIDTH, NUMERATOR, DENOMINATOR = 5, 3, 4
 #: Bytes of sets in a block that is compared with others, pairs of it and occurrences that are looked at at once.
@@ -309,6 +309,7 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tup
     held = dealing.of_documents(counted).join(of_node.select(F.col("node").alias("doc_id"), "sure"), "doc_id").select("doc_id", "blobs", "sure")
     met = dealing.in_buckets(held.mapInArrow(_keep(buckets), dealing.SCHEMA), buckets, _groups, "kind int, a bigint, b bigint")
     met = store(met, "groups")
+    forget(counted)
     slices = met.where(F.col("kind") == SLICE).select(F.col("a").alias("key"), F.col("b").alias("node"))
     tops = slices.groupBy("key").agg(F.min("node").alias("top"))
     across = slices.join(tops, "key").where("node <> top").select(F.col("top").alias("a"), F.col("node").alias("b"))
@@ -324,8 +325,13 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tup
     several = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
     named = store(_salted(named, several, "key", "node"), "open")
     if named.isEmpty():
+        forget(met, sets, edges, named)
         return profile, labels
-    return profile, components(edges.unionByName(store(_across(named, sets), "across")))
+    across = store(_across(named, sets), "across")
+    forget(met, sets, named, labels)
+    labels = components(edges.unionByName(across))
+    forget(edges, across)
+    return profile, labels
 
 
 def row_hash(id_: Column, text: Column) -> Column:
@@ -415,6 +421,7 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     profile, labels = link(docs, id_col, text_col)
     kept = _firsts(profile, labels).select(F.col("first.row").alias("_row")).unionByName(profile.where("n = 0").select(F.col("row").alias("_row")))
     kept = store(kept.distinct(), "kept")
+    forget(profile, labels)
     own = [f"_c{i}" for i in range(len(docs.columns))]
     row = row_hash(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).alias("_row")
     rows = docs.select(row, *[F.col(f"`{c}`").alias(o) for c, o in zip(docs.columns, own)]).join(kept, "_row", "left_semi")

@@ -48,7 +48,15 @@ def store(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete tables that store() wrote, once all that is made of them is written itself."""
+    for t in tables:
+        dropped(t.sparkSession, t.stored_at)
 
 
 def by_weight(texts: list, limit: int):

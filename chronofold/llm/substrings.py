@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from chronofold.llm import dealing
 from chronofold.llm import words as W
-from chronofold.llm.session import bounded_batches, store
+from chronofold.llm.session import bounded_batches, forget, store
 
 LENGTH, PERIOD, COVER = 13, 7, (0, 1, 3)
 ANCHOR = LENGTH - PERIOD + 1
@@ -157,7 +157,9 @@ def removable_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     shared = store(shared, "anchors")
     held = slim.join(dealing.of_documents(shared), "doc_id").select("doc_id", "text", "blobs")
     removable = dealing.in_buckets(held.mapInArrow(_find_windows(buckets), dealing.SCHEMA), buckets, _removable, dealing.ANSWERS)
-    return dealing.of_documents(store(removable, "windows"))
+    removable = store(removable, "windows")
+    forget(shared)
+    return dealing.of_documents(removable)
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = True) -> DataFrame:
