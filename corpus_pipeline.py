@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from chronofold.llm import bpe, decontamination, jaccard, pii, quality
 from chronofold.llm.labelled import crc_mod
 from chronofold.llm.registry import VOCABULARY, pii_key
-from chronofold.llm.session import shared_dir
+from chronofold.llm.session import dropped, shared_dir
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,10 +52,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply all stages to the documents of sf_dir."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """Apply all stages to the documents of sf_dir; a stage's table goes once the next one is written."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for at, (_, stage) in enumerate(STAGES):
         path = shared_dir(spark, f"stage{at}")
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        if before is not None:
+            dropped(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
