@@ -30,7 +30,7 @@ BLANKS = " \t\n\v\f\r"
 LEAST_WORDS, WIDTH, REPEAT_PERCENT = 10, 5, 20
 #: References: words a document must have, documents a language must have, words in a histogram and their least share.
 MIN_WORDS, MIN_DOCS, COMMON, LEAST_SHARE = 50, 10, 32, 0.001
-BUCKETS, SCALE = 1 << 16, 100_000_000
+BUCKETS, SCALE, PLACES = 1 << 16, 100_000_000, 64
 #: Limits of the two distances: (base, slope).
 CLASS_LIMIT, WORD_LIMIT = (0.15, 0.8), (0.22, 1.4)
 #: Character classes, as regular expressions over what is left without lower-case ASCII letters and blanks.
@@ -38,21 +38,22 @@ CLASSES = {"capitals": "[A-Z]+", "digits": "[0-9]+", "points": r"[.,;:!?'\"()\-]
 
 
 def _split_words(text: Column) -> Column:
-    return F.array_remove(F.split(F.translate(text, BLANKS[1:], " " * (len(BLANKS) - 1)), " "), "")
+    return F.array_remove(F.split(text, r"[\x20\x09-\x0D]+"), "")
 
 
-def _once(df: DataFrame, *columns: str | Column, where: Column | None = None) -> DataFrame:
-    """columns of df (of the rows where). A generator, as Spark would write a filter's columns out again in full below it,
-    and compute a text's words anew for each of them."""
-    row = F.array(F.struct(*columns))
-    return df.select(F.inline(row if where is None else F.when(where, row)))
+def _once(df: DataFrame, *columns: str | Column) -> DataFrame:
+    """columns of df, by a generator: Spark would write a filter's columns out again in full below it, and compute a text's
+    words anew for each of them."""
+    return df.select(F.inline(F.array(F.struct(*columns))))
 
 
-def _counts(docs: DataFrame, text_col: str, lang_col: str | None) -> DataFrame:
-    """row: docs' own row; lang; t: the text; w: its words; n: how many; word_chars."""
-    lang = F.coalesce(F.col(lang_col).cast("string"), F.lit("")) if lang_col else F.lit("")
-    out = docs.select(F.struct("*").alias("row"), lang.alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    out = out.select("*", _split_words(F.col("t")).alias("w"))
+def _lang(lang_col: str | None) -> Column:
+    return (F.coalesce(F.col(lang_col).cast("string"), F.lit("")) if lang_col else F.lit("")).alias("lang")
+
+
+def _sized(rows: DataFrame) -> DataFrame:
+    """rows (with the text t), and w: its words; n: how many; word_chars."""
+    out = rows.select("*", _split_words(F.col("t")).alias("w"))
     return out.select("*", F.size("w").cast("bigint").alias("n"), F.length(F.array_join("w", "")).cast("bigint").alias("word_chars"))
 
 
@@ -67,7 +68,7 @@ def _classes(counted: DataFrame) -> DataFrame:
 def _repeat_words(words: str, n: str) -> tuple[Column, Column, Column]:
     """Three steps to the words in windows that occur twice or more; each step's column must stand before the next."""
     w = F.col(words)
-    hashes = F.when(F.col(n) >= WIDTH, F.transform(F.sequence(F.lit(0), F.col(n).cast("int") - WIDTH), lambda i: F.xxhash64(*[F.get(w, i + j) for j in range(WIDTH)]))).otherwise(F.array().cast("array<bigint>"))
+    hashes = F.when(F.col(n) >= WIDTH, F.transform(F.sequence(F.lit(1), F.col(n).cast("int") - WIDTH + 1), lambda i: F.xxhash64(F.slice(w, i, F.lit(WIDTH))))).otherwise(F.array().cast("array<bigint>"))
     at = F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("at")))
     in_order = F.when(F.size(F.array_distinct("windows")) < F.size("windows"), F.sort_array(at)).otherwise(F.array().cast("array<struct<h:bigint,at:int>>"))
     s = F.col("in_order")
@@ -91,14 +92,15 @@ def _base(counted: DataFrame) -> DataFrame:
 
 def references(docs: DataFrame, text_col: str = "text", lang_col: str | None = "lang") -> DataFrame:
     """A row a language: lang, common (array of words), common_shares and class_shares (arrays of double); stored."""
-    rows = _once(_counts(docs, text_col, lang_col), "lang", "t", "w", "n", "word_chars", where=F.col("n") >= MIN_WORDS)
-    weight = F.expr(f"{SCALE}L div n")
+    rows = docs.select(_lang(lang_col), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
     per_class = [F.expr(f"{SCALE}L * classes[{k}] div chars") for k in range(len(CLASSES) + 2)]
-    sums = _classes(rows).select("lang", (F.col("n") * weight).alias("weight"), *[c.alias(f"c{k}") for k, c in enumerate(per_class)])
-    sums = sums.groupBy("lang").agg(F.count(F.lit(1)).alias("docs"), F.sum("weight").alias("all"), *[F.sum(f"c{k}").alias(f"c{k}") for k in range(len(per_class))])
+    enough = F.col("n") >= MIN_WORDS
+    sums = _classes(_sized(rows)).select("lang", enough.alias("enough"), F.when(enough, F.expr(f"n * ({SCALE}L div n)")).alias("weight"), *[F.when(enough, c).alias(f"c{k}") for k, c in enumerate(per_class)])
+    sums = sums.groupBy("lang").agg(F.count_if("enough").alias("docs"), F.sum("weight").alias("all"), *[F.sum(f"c{k}").alias(f"c{k}") for k in range(len(per_class))])
     total = sum((F.col(f"c{k}") for k in range(1, len(per_class))), F.col("c0"))
     langs = store(sums.where(F.col("docs") >= MIN_DOCS).select("lang", "all", F.array(*[F.col(f"c{k}") / total for k in range(len(per_class))]).alias("class_shares")), "languages")
-    words = rows.select("lang", weight.alias("weight"), F.explode(F.transform("w", F.lower)).alias("word"))
+    words = rows.select("lang", _split_words(F.lower("t")).alias("w"))
+    words = words.select("lang", F.expr(f"{SCALE}L div nullif(size(w), 0)").alias("weight"), F.explode(F.when(F.size("w") >= MIN_WORDS, F.col("w"))).alias("word"))
     bucket = F.pmod(F.xxhash64("word"), F.lit(BUCKETS)).cast("int").alias("bucket")
     heavy = words.groupBy("lang", bucket).agg(F.sum("weight").alias("weight")).join(langs.select("lang", "all"), "lang").where(F.col("weight") >= LEAST_SHARE * F.col("all"))
     heavy = store(heavy.select("lang", "bucket"), "buckets")  # so that Spark knows its size before it joins
@@ -122,14 +124,26 @@ def _rest(shares: Column) -> Column:
     return F.concat(shares, F.array(F.greatest(F.lit(0.0), 1 - F.aggregate(shares, F.lit(0.0), lambda a, x: a + x))))
 
 
-def _judged(docs: DataFrame, text_col: str, lang_col: str | None, reference: DataFrame | None) -> DataFrame:
+def _buckets(words: str) -> Column:
+    """words in PLACES arrays by their hash, so that a word is looked up among few."""
+    place = F.transform(words, lambda x: F.struct(_place(x).alias("p"), x.alias("x")))
+    return F.transform(F.sequence(F.lit(0), F.lit(PLACES - 1)), lambda b: F.transform(F.filter(place, lambda s: s["p"] == b), lambda s: s["x"]))
+
+
+def _place(word: Column) -> Column:
+    return F.pmod(F.xxhash64(word), F.lit(PLACES)).cast("int")
+
+
+def _judged(docs: DataFrame, row: Column, text_col: str, lang_col: str | None, reference: DataFrame | None) -> DataFrame:
     reference = references(docs, text_col, lang_col) if reference is None else reference
+    reference = store(reference.withColumn("places", _buckets("common")), "places")
     n = F.col("n").cast("double")
-    out = _base(_classes(_counts(docs, text_col, lang_col))).join(reference, "lang", "left")
+    rows = docs.select(row.alias("row"), _lang(lang_col), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+    out = _base(_classes(_sized(rows))).join(reference, "lang", "left")
     enough = F.col("class_shares").isNotNull() & (F.col("n") >= MIN_WORDS)
-    common = F.array_remove(F.transform("w", lambda x: F.array_position("common", F.lower(x)).cast("int")), 0)
-    out = out.select("*", F.when(enough, common).otherwise(F.array().cast("array<int>")).alias("hits"))
-    shares = F.transform("common", lambda _, k: (F.size("hits") - F.size(F.array_remove(F.col("hits"), k + 1))) / n)
+    hits = F.filter(_split_words(F.lower("t")), lambda x: F.array_contains(F.get("places", _place(x)), x))
+    out = out.select("*", F.when(enough, hits).alias("hits"))
+    shares = F.transform("common", lambda x: (F.size("hits") - F.size(F.array_remove(F.col("hits"), x))) / n)
     out = out.select("*", F.when(enough, shares).alias("own"), F.when(enough, F.transform("classes", lambda c: c / F.col("chars"))).alias("own_classes"))
     by_word, by_class = _distance(_rest(F.col("own")), _rest(F.col("common_shares"))), _distance(F.col("own_classes"), F.col("class_shares"))
     out = out.select("*", F.when(enough, by_word).alias("word_distance"), F.when(enough, by_class).alias("class_distance"))
@@ -139,10 +153,10 @@ def _judged(docs: DataFrame, text_col: str, lang_col: str | None, reference: Dat
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang", reference: DataFrame | None = None) -> DataFrame:
     """id, the base counts and verdict, kept, and the two distances (null where they are not judged). reference: of references(), made of docs if left out."""
-    out = _judged(docs, text_col, lang_col, reference)
-    return _once(out, F.col(f"row.`{id_col}`").alias(id_col), F.col("n").alias("n_words"), "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "class_distance", "word_distance")
+    out = _judged(docs, F.col(id_col), text_col, lang_col, reference)
+    return _once(out, F.col("row").alias(id_col), F.col("n").alias("n_words"), "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "class_distance", "word_distance")
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str | None = "lang", reference: DataFrame | None = None) -> DataFrame:
     """The rows of docs that are kept, with all their columns."""
-    return _judged(docs, text_col, lang_col, reference).select(F.inline(F.when(F.col("kept"), F.array("row"))))
+    return _judged(docs, F.struct("*"), text_col, lang_col, reference).select(F.inline(F.when(F.col("kept"), F.array("row"))))
