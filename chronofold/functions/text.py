@@ -111,9 +111,17 @@ def record_key(symbol: Column, day: Column) -> Column:
     return F.concat_ws("|", F.lit("brsapi"), F.lit("candlestick"), F.lit("type=2"), symbol, F.coalesce(day, F.lit("unknown-date")))
 
 
+_KEY_PARAMETER = r"(?i)([?&]key=)[^&\s]*"
+
+
 def redacted(c: Column, most: int = 512) -> Column:
     """The values of key parameters hidden, and cut to a bounded length."""
-    return F.substring(F.regexp_replace(c, r"(?i)([?&]key=)[^&\s]*", "$1***"), 1, most)
+    return F.substring(F.regexp_replace(c, _KEY_PARAMETER, "$1***"), 1, most)
+
+
+def redacted_text(value: str, most: int = 512) -> str:
+    """redacted() of one text."""
+    return re.sub(_KEY_PARAMETER, r"\1***", value)[:most]
 
 
 def is_safe_identifier(value: str) -> bool:
