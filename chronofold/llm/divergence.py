@@ -51,43 +51,25 @@ def _lang(lang_col: str | None) -> Column:
     return (F.coalesce(F.col(lang_col).cast("string"), F.lit("")) if lang_col else F.lit("")).alias("lang")
 
 
-def _sized(rows: DataFrame) -> DataFrame:
-    """rows (with the text t), and w: its words; n: how many; word_chars."""
-    out = rows.select("*", _split_words(F.col("t")).alias("w"))
-    return out.select("*", F.size("w").cast("bigint").alias("n"), F.length(F.array_join("w", "")).cast("bigint").alias("word_chars"))
+def _let(value: Column, f) -> Column:
+    """f(value), with value computed once."""
+    return F.get(F.transform(F.array(value), f), 0)
 
 
-def _classes(counted: DataFrame) -> DataFrame:
-    """counted, and classes: how many characters of each class (the last two: blanks, and all else), and rare: the text without the commonest."""
-    out = counted.select("*", F.regexp_replace("t", "[a-z\\x20\\x09-\\x0D]+", "").alias("rare"), F.length("t").cast("bigint").alias("chars"))
-    of = [(F.length("rare") - F.length(F.regexp_replace("rare", p, ""))).cast("bigint") for p in CLASSES.values()]
-    out = out.select("*", F.array(*of, F.col("chars") - F.col("word_chars")).alias("found"))
-    return out.withColumn("classes", F.concat("found", F.array(F.col("chars") - F.aggregate("found", F.lit(0).cast("bigint"), lambda a, x: a + x)))).drop("found")
+def _class_counts(rare: Column, chars: Column, word_chars: Column) -> Column:
+    """How many characters of each class (the last two: blanks, and all else). rare: the text without lower-case ASCII letters and blanks."""
+    of = [(F.length(rare) - F.length(F.regexp_replace(rare, p, ""))).cast("bigint") for p in CLASSES.values()]
+    sums = lambda a: F.concat(a, F.array(chars - F.aggregate(a, F.lit(0).cast("bigint"), lambda x, y: x + y)))
+    return _let(F.array(*of, chars - word_chars), sums)
 
 
-def _repeat_words(words: str, n: str) -> tuple[Column, Column, Column]:
-    """Three steps to the words in windows that occur twice or more; each step's column must stand before the next."""
-    w = F.col(words)
-    hashes = F.when(F.col(n) >= WIDTH, F.transform(F.sequence(F.lit(1), F.col(n).cast("int") - WIDTH + 1), lambda i: F.xxhash64(F.slice(w, i, F.lit(WIDTH))))).otherwise(F.array().cast("array<bigint>"))
-    at = F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("at")))
-    in_order = F.when(F.size(F.array_distinct("windows")) < F.size("windows"), F.sort_array(at)).otherwise(F.array().cast("array<struct<h:bigint,at:int>>"))
-    s = F.col("in_order")
-    twice = F.filter(s, lambda x, i: (F.get(s, i - 1)["h"] == x["h"]) | (F.get(s, i + 1)["h"] == x["h"]))
-    return hashes, in_order, F.sort_array(F.transform(twice, lambda x: x["at"]))
+def _rare(text: Column) -> Column:
+    return F.regexp_replace(text, "[a-z\\x20\\x09-\\x0D]+", "")
 
 
-def _base(counted: DataFrame) -> DataFrame:
-    """counted (with classes), and the base counts and their verdict."""
-    windows, in_order, starts = _repeat_words("w", "n")
-    out = counted.withColumn("lines", F.filter(F.split("t", "\n"), lambda x: F.length(F.trim(x, F.lit(BLANKS))) > 0))
-    out = out.select("*", windows.alias("windows")).select("*", in_order.alias("in_order")).select("*", starts.alias("starts"))
-    q = F.col("starts")
-    covered = F.aggregate(F.transform(q, lambda x, i: F.least(F.lit(WIDTH), F.coalesce(F.get(q, i + 1) - x, F.lit(WIDTH))).cast("bigint")), F.lit(0).cast("bigint"), lambda a, x: a + x)
-    out = out.select(
-        "*", (F.length("rare") - F.length(F.regexp_replace("rare", "[#*$%&|<>]+", ""))).cast("bigint").alias("n_symbols"),
-        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"), covered.alias("n_repeat_words"),
-    )
-    return out.withColumn("base_failed", (F.col("n") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n"))).drop("lines", "windows", "in_order", "starts")
+def _sizes() -> list[Column]:
+    """n, word_chars and chars of a text t with the words w."""
+    return [F.size("w").cast("bigint").alias("n"), F.length(F.array_join("w", "")).cast("bigint").alias("word_chars"), F.length("t").cast("bigint").alias("chars")]
 
 
 def references(docs: DataFrame, text_col: str = "text", lang_col: str | None = "lang") -> DataFrame:
@@ -95,7 +77,9 @@ def references(docs: DataFrame, text_col: str = "text", lang_col: str | None = "
     rows = docs.select(_lang(lang_col), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
     per_class = [F.expr(f"{SCALE}L * classes[{k}] div chars") for k in range(len(CLASSES) + 2)]
     enough = F.col("n") >= MIN_WORDS
-    sums = _classes(_sized(rows)).select("lang", enough.alias("enough"), F.when(enough, F.expr(f"n * ({SCALE}L div n)")).alias("weight"), *[F.when(enough, c).alias(f"c{k}") for k, c in enumerate(per_class)])
+    sums = rows.select("lang", "t", _split_words(F.col("t")).alias("w")).select("lang", *_sizes(), _rare(F.col("t")).alias("rare"))
+    sums = sums.select("lang", "n", "chars", _class_counts(F.col("rare"), F.col("chars"), F.col("word_chars")).alias("classes"))
+    sums = sums.select("lang", enough.alias("enough"), F.when(enough, F.expr(f"n * ({SCALE}L div n)")).alias("weight"), *[F.when(enough, c).alias(f"c{k}") for k, c in enumerate(per_class)])
     sums = sums.groupBy("lang").agg(F.count_if("enough").alias("docs"), F.sum("weight").alias("all"), *[F.sum(f"c{k}").alias(f"c{k}") for k in range(len(per_class))])
     total = sum((F.col(f"c{k}") for k in range(1, len(per_class))), F.col("c0"))
     langs = store(sums.where(F.col("docs") >= MIN_DOCS).select("lang", "all", F.array(*[F.col(f"c{k}") / total for k in range(len(per_class))]).alias("class_shares")), "languages")
@@ -134,21 +118,50 @@ def _place(word: Column) -> Column:
     return F.pmod(F.xxhash64(word), F.lit(PLACES)).cast("int")
 
 
+def _windows() -> Column:
+    """A hash of each run of WIDTH words of w."""
+    last = F.size("w") - WIDTH + 1
+    return F.when(last >= 1, F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: F.xxhash64(F.slice("w", i, F.lit(WIDTH))))).otherwise(F.array().cast("array<bigint>"))
+
+
+def _repeated() -> Column:
+    """Where the windows begin that occur twice or more, as (hash, place) in the order of both."""
+    at = F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("at")))
+    return F.when(F.size(F.array_distinct("windows")) < F.size("windows"), F.sort_array(at)).otherwise(F.array().cast("array<struct<h:bigint,at:int>>"))
+
+
+def _covered() -> Column:
+    """Words in those windows: each adds WIDTH, or as many as lie before the next."""
+    s = F.col("in_order")
+    twice = F.filter(s, lambda x, i: (F.get(s, i - 1)["h"] == x["h"]) | (F.get(s, i + 1)["h"] == x["h"]))
+    gaps = lambda q: F.transform(q, lambda x, i: F.least(F.lit(WIDTH), F.coalesce(F.get(q, i + 1) - x, F.lit(WIDTH))).cast("bigint"))
+    return F.aggregate(_let(F.sort_array(F.transform(twice, lambda x: x["at"])), gaps), F.lit(0).cast("bigint"), lambda a, x: a + x)
+
+
 def _judged(docs: DataFrame, row: Column, text_col: str, lang_col: str | None, reference: DataFrame | None) -> DataFrame:
+    """Steps of which each drops what the next does not read, as every step writes its columns anew."""
     reference = references(docs, text_col, lang_col) if reference is None else reference
     reference = store(reference.withColumn("places", _buckets("common")), "places")
     n = F.col("n").cast("double")
-    rows = docs.select(row.alias("row"), _lang(lang_col), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    out = _base(_classes(_sized(rows))).join(reference, "lang", "left")
-    enough = F.col("class_shares").isNotNull() & (F.col("n") >= MIN_WORDS)
+    rows = docs.select(row.alias("row"), _lang(lang_col), F.coalesce(F.col(text_col), F.lit("")).alias("t"), _split_words(F.coalesce(F.col(text_col), F.lit(""))).alias("w"))
+    own = ["row", "n", "word_chars", "chars", "common", "common_shares", "class_shares"]
+    lines = F.filter(F.split("t", "\n"), lambda x: F.length(F.trim(x, F.lit(BLANKS))) > 0)
     hits = F.filter(_split_words(F.lower("t")), lambda x: F.array_contains(F.get("places", _place(x)), x))
-    out = out.select("*", F.when(enough, hits).alias("hits"))
+    judged = F.col("class_shares").isNotNull() & (F.size("w") >= MIN_WORDS)
+    out = rows.join(reference, "lang", "left").select(
+        "row", *_sizes(), "common", "common_shares", "class_shares", judged.alias("judged"), _rare(F.col("t")).alias("rare"), _windows().alias("windows"),
+        _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint").alias("n_dup_lines"), F.when(judged, hits).alias("hits"),
+    )
     shares = F.transform("common", lambda x: (F.size("hits") - F.size(F.array_remove(F.col("hits"), x))) / n)
-    out = out.select("*", F.when(enough, shares).alias("own"), F.when(enough, F.transform("classes", lambda c: c / F.col("chars"))).alias("own_classes"))
-    by_word, by_class = _distance(_rest(F.col("own")), _rest(F.col("common_shares"))), _distance(F.col("own_classes"), F.col("class_shares"))
-    out = out.select("*", F.when(enough, by_word).alias("word_distance"), F.when(enough, by_class).alias("class_distance"))
+    out = out.select(
+        *own, "judged", "n_dup_lines", _repeated().alias("in_order"), F.when(F.col("judged"), shares).alias("shares"), _class_counts(F.col("rare"), F.col("chars"), F.col("word_chars")).alias("classes"),
+        (F.length("rare") - F.length(F.regexp_replace("rare", "[#*$%&|<>]+", ""))).cast("bigint").alias("n_symbols"),
+    )
+    by_word, by_class = _distance(_rest(F.col("shares")), _rest(F.col("common_shares"))), _distance(F.transform("classes", lambda c: c / F.col("chars")), F.col("class_shares"))
+    out = out.select("row", "n", "word_chars", "n_symbols", "n_dup_lines", _covered().alias("n_repeat_words"), F.when(F.col("judged"), by_word).alias("word_distance"), F.when(F.col("judged"), by_class).alias("class_distance"))
+    failed = (F.col("n") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n"))
     far = (F.col("word_distance") > WORD_LIMIT[0] + WORD_LIMIT[1] / F.sqrt(n)) | (F.col("class_distance") > CLASS_LIMIT[0] + CLASS_LIMIT[1] / F.sqrt(n))
-    return out.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(far, F.lit(False)))
+    return out.select("*", failed.alias("base_failed")).select("*", (~F.col("base_failed") & ~F.coalesce(far, F.lit(False))).alias("kept"))
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang", reference: DataFrame | None = None) -> DataFrame:
