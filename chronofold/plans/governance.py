@@ -122,7 +122,7 @@ def batch_count_violations(spark, d):
 
 GATES = {
     "unique_key": "SELECT count(*) FROM (SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY ALL HAVING count(*) > 1)",
-    "continuous_sequence": "SELECT count(*) FROM (SELECT event_id AS b, lag(event_id) OVER (ORDER BY event_id) AS a FROM events WHERE event_id % 10 <> 3) WHERE b > a + 1",
+    "continuous_sequence": "SELECT count(*) FROM (SELECT turn AS b, lag(turn) OVER (PARTITION BY conv_id ORDER BY turn) AS a FROM conversations) WHERE b > a + 1",
     "price_order": "SELECT count(*) FROM bars WHERE high_price < low_price OR open_price < low_price OR open_price > high_price OR close_price < low_price OR close_price > high_price OR volume < 0",
     "non_negative": "SELECT count(*) FROM lineitem WHERE l_quantity < 0 OR l_extendedprice < 0",
     "currency": "SELECT count(*) FROM customer WHERE c_mktsegment NOT IN ('BUILDING', 'MACHINERY')",
@@ -144,7 +144,7 @@ def quality_gates(spark, d):
     calendar = events.select(F.col("ts").cast("date").alias("day")).distinct().select("day", (F.col("day").cast("timestamp_ntz") + F.make_dt_interval(hours=F.lit(9))).alias("session_open_ts"), (F.col("day").cast("timestamp_ntz") + F.make_dt_interval(hours=F.lit(17))).alias("session_close_ts"))
     return integrity.quality_gates({
         "unique_key": temporal.ambiguous_keys(t("lineitem"), ["l_orderkey", "l_linenumber"]),
-        "continuous_sequence": integrity.sequence_gaps(events.where("event_id % 10 <> 3").withColumn("feed", F.lit(1)), ["feed"], "event_id"),
+        "continuous_sequence": integrity.sequence_gaps(t("conversations"), ["conv_id"], "turn"),
         "price_order": integrity.ohlc_violations(b),
         "non_negative": t("lineitem").where("l_quantity < 0 OR l_extendedprice < 0"),
         "currency": t("customer").where("c_mktsegment NOT IN ('BUILDING', 'MACHINERY')"),
@@ -158,10 +158,10 @@ def quality_gates(spark, d):
     })
 
 
-@query("session_list", """SELECT DISTINCT strftime(o_orderdate, '%Y-%m-%d') AS trading_date, o_orderpriority AS venue_code FROM orders WHERE o_orderdate >= TIMESTAMP '1994-02-01' AND o_orderdate < TIMESTAMP '1994-04-01' AND o_orderpriority = '1-URGENT'""")
+@query("session_list", """SELECT DISTINCT strftime(o_orderdate, '%Y-%m-%d') AS trading_date, o_orderpriority AS venue_code FROM orders WHERE o_orderdate >= TIMESTAMP '1996-02-01' AND o_orderdate < TIMESTAMP '1996-04-01' AND o_orderpriority = '1-URGENT'""")
 def session_list(spark, d):
     calendar = table(spark, d, "orders").select(F.col("o_orderdate").cast("date").alias("trading_date"), F.col("o_orderpriority").alias("venue_code"), F.lit("REGULAR").alias("session_code")).distinct()
-    return temporal.sessions(calendar, "1-URGENT", "1994-02-01", "1994-03-31").select(F.date_format("trading_date", "yyyy-MM-dd").alias("trading_date"), "venue_code")
+    return temporal.sessions(calendar, "1-URGENT", "1996-02-01", "1996-03-31").select(F.date_format("trading_date", "yyyy-MM-dd").alias("trading_date"), "venue_code")
 
 
 #: The array parameter of a read.
