@@ -27,14 +27,16 @@ from chronofold.llm.session import store
 
 BLANKS = " \t\n\v\f\r"
 #: Base rules.
+#: The width of windows is fixed by how their hashes are put together.
 LEAST_WORDS, WIDTH, REPEAT_PERCENT = 10, 5, 20
 #: References: words a document must have, documents a language must have, words in a histogram and their least share.
 MIN_WORDS, MIN_DOCS, COMMON, LEAST_SHARE = 50, 10, 32, 0.001
 BUCKETS, SCALE, PLACES = 1 << 16, 100_000_000, 64
 #: Limits of the two distances: (base, slope).
 CLASS_LIMIT, WORD_LIMIT = (0.15, 0.8), (0.22, 1.4)
-#: Character classes, as regular expressions over what is left without lower-case ASCII letters and blanks.
-CLASSES = {"capitals": "[A-Z]+", "digits": "[0-9]+", "points": r"[.,;:!?'\"()\-]+", "marks": r"[#$%&*+/<=>@\[\\\]^_`{|}~]+", "beyond": r"[^\x00-\x7F]+"}
+#: Character classes of ASCII by their characters; beyond it lies one more.
+CLASSES = {"capitals": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "digits": "0123456789", "points": ".,;:!?'\"()-", "marks": "#$%&*+/<=>@[\\]^_`{|}~"}
+SYMBOLS, BEYOND = "#*$%&|<>", "[^\\x00-\\x7F]+"
 
 
 def _split_words(text: Column) -> Column:
@@ -56,9 +58,13 @@ def _let(value: Column, f) -> Column:
     return F.get(F.transform(F.array(value), f), 0)
 
 
+def _count(text: Column, characters: str) -> Column:
+    return (F.length(text) - F.length(F.translate(text, characters, ""))).cast("bigint")
+
+
 def _class_counts(rare: Column, chars: Column, word_chars: Column) -> Column:
     """How many characters of each class (the last two: blanks, and all else). rare: the text without lower-case ASCII letters and blanks."""
-    of = [(F.length(rare) - F.length(F.regexp_replace(rare, p, ""))).cast("bigint") for p in CLASSES.values()]
+    of = [_count(rare, c) for c in CLASSES.values()] + [(F.length(rare) - F.length(F.regexp_replace(rare, BEYOND, ""))).cast("bigint")]
     sums = lambda a: F.concat(a, F.array(chars - F.aggregate(a, F.lit(0).cast("bigint"), lambda x, y: x + y)))
     return _let(F.array(*of, chars - word_chars), sums)
 
@@ -75,7 +81,7 @@ def _sizes() -> list[Column]:
 def references(docs: DataFrame, text_col: str = "text", lang_col: str | None = "lang") -> DataFrame:
     """A row a language: lang, common (array of words), common_shares and class_shares (arrays of double); stored."""
     rows = docs.select(_lang(lang_col), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    per_class = [F.expr(f"{SCALE}L * classes[{k}] div chars") for k in range(len(CLASSES) + 2)]
+    per_class = [F.expr(f"{SCALE}L * classes[{k}] div chars") for k in range(len(CLASSES) + 3)]
     enough = F.col("n") >= MIN_WORDS
     sums = rows.select("lang", "t", _split_words(F.col("t")).alias("w")).select("lang", *_sizes(), _rare(F.col("t")).alias("rare"))
     sums = sums.select("lang", "n", "chars", _class_counts(F.col("rare"), F.col("chars"), F.col("word_chars")).alias("classes"))
@@ -119,9 +125,15 @@ def _place(word: Column) -> Column:
 
 
 def _windows() -> Column:
-    """A hash of each run of WIDTH words of w."""
-    last = F.size("w") - WIDTH + 1
-    return F.when(last >= 1, F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: F.xxhash64(F.slice("w", i, F.lit(WIDTH))))).otherwise(F.array().cast("array<bigint>"))
+    """A hash of each run of WIDTH (five) words, of the words' hashes: two of them, four, and the fifth. zip_with walks both
+    arrays once; slices of words at each place would copy the array each time."""
+    pairs = lambda a, b: F.zip_with(a, b, lambda x, y: F.xxhash64(x, y))
+    from_ = lambda a, k: F.slice(a, F.lit(k + 1), F.greatest(F.size(a) - k, F.lit(0)))
+    upto = lambda a, k: F.slice(a, F.lit(1), F.greatest(F.size(a) - k, F.lit(0)))
+    two = lambda h: pairs(upto(h, 1), from_(h, 1))
+    four = lambda p: pairs(upto(p, 2), from_(p, 2))
+    five = lambda h: _let(_let(two(h), four), lambda q: pairs(upto(q, 1), from_(h, 4)))
+    return _let(F.transform("w", lambda x: F.xxhash64(x)), five)
 
 
 def _repeated() -> Column:
@@ -155,7 +167,7 @@ def _judged(docs: DataFrame, row: Column, text_col: str, lang_col: str | None, r
     shares = F.transform("common", lambda x: (F.size("hits") - F.size(F.array_remove(F.col("hits"), x))) / n)
     out = out.select(
         *own, "judged", "n_dup_lines", _repeated().alias("in_order"), F.when(F.col("judged"), shares).alias("shares"), _class_counts(F.col("rare"), F.col("chars"), F.col("word_chars")).alias("classes"),
-        (F.length("rare") - F.length(F.regexp_replace("rare", "[#*$%&|<>]+", ""))).cast("bigint").alias("n_symbols"),
+        _count(F.col("rare"), SYMBOLS).alias("n_symbols"),
     )
     by_word, by_class = _distance(_rest(F.col("shares")), _rest(F.col("common_shares"))), _distance(F.transform("classes", lambda c: c / F.col("chars")), F.col("class_shares"))
     out = out.select("row", "n", "word_chars", "n_symbols", "n_dup_lines", _covered().alias("n_repeat_words"), F.when(F.col("judged"), by_word).alias("word_distance"), F.when(F.col("judged"), by_class).alias("class_distance"))
