@@ -80,3 +80,8 @@ def names(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(target):
         return []
     return sorted(n for s in fs.listStatus(target) if not (n := s.getPath().getName()).startswith("."))
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, target = file_system(spark, path)
+    fs.delete(target, True)

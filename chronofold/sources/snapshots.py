@@ -24,8 +24,8 @@ from chronofold.sources.manifests import SnapshotRequest
 STATES = ("BUILDING", "FROZEN", "FAILED")
 
 
-def lines(bars: DataFrame) -> DataFrame:
-    """bars as canonical JSON lines, in the order of bar, series and revision. Decimals and timestamps are text."""
+def line_fields(bars: DataFrame) -> dict:
+    """bars' columns as JSON text. Decimals and timestamps are text."""
 
     def stamp(c: str):
         text = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
@@ -43,8 +43,13 @@ def lines(bars: DataFrame) -> DataFrame:
             fields[f.name] = canonical.quoted(c.cast("string"))
         else:
             fields[f.name] = c.cast("string")
+    return fields
+
+
+def lines(bars: DataFrame) -> DataFrame:
+    """bars as canonical JSON lines, in the order of bar, series and revision."""
     order = ["bar_open_ts", "bar_series_id", "revision_no"]
-    return bars.select(*order, canonical.json_object(fields).alias("line")).orderBy(*order).select("line")
+    return bars.select(*order, canonical.json_object(line_fields(bars)).alias("line")).orderBy(*order).select("line")
 
 
 class SnapshotStore:
