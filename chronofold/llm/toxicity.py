@@ -34,8 +34,8 @@ from chronofold.llm.session import bounded_batches, release
 SAMPLE_DOCS, SAMPLE_BYTES = 3000, 64 << 20
 #: Bytes of the dictionaries, of the segments that they are put together from, and of the shortest match that counts.
 TOXIC_BYTES, TOXIC_SEGMENT, ORDINARY_BYTES, ORDINARY_SEGMENT, LEAST_MATCH = 8192, 100, 262144, 32, 6
-#: Windows of three words that the ordinary dictionary is trained on; of ten ordinary texts so many train it, the others calibrate.
-TRAINING_WINDOWS, TRAINING_TENTHS = 400_000, 7
+#: Of ten ordinary texts so many train their dictionary, on all their words, three at a time; the others calibrate.
+TRAINING_TENTHS = 7
 #: A toxic text's word belongs to its passage if so large a share of toxic texts has it, and with this logarithm of odds.
 MARK_SHARE, MARK_ODDS = 0.01, 2.5
 #: Characters of the longest window.
@@ -168,9 +168,7 @@ def dictionaries(texts: list[str], bags: list[set[str]], labels: list[int]) -> t
     for i, t in enumerate(texts):
         if labels[i] == 0 and (i not in held or n0 < 10):
             w = words(t)
-            three += [(" " + " ".join(w[j : j + 3]) + " ").encode() for j in range(max(1, len(w) - 2))]
-    if len(three) > TRAINING_WINDOWS:
-        three = [three[j] for j in np.random.default_rng(5).permutation(len(three))[:TRAINING_WINDOWS].tolist()]
+            three += [(" " + " ".join(w[j : j + 3]) + " ").encode() for j in range(0, max(1, len(w)), 3)]
     return toxic, trained(three, ORDINARY_BYTES, ORDINARY_SEGMENT, LEAST_MATCH + 2)
 
 
