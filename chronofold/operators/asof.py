@@ -7,12 +7,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronofold.operators.backtest import Tape
-
 
 def backward(left: DataFrame, right: DataFrame, on: Sequence[str], left_ts: str, right_ts: str, payload: Sequence[str], left_id: Sequence[str]) -> DataFrame:
     """Each left row with the payload of the latest right row at or before it (of equally late ones the largest payload); null without one."""
@@ -48,26 +45,27 @@ def visible_at(decisions: DataFrame, bars: DataFrame, clock: str, payload: Seque
 def last_visible(decisions: DataFrame, bars: DataFrame, clock: str, n: int, payload: Sequence[str]) -> DataFrame:
     """For each decision the newest n bars of its series that are visible then, each by its highest revision; rank 1 is the newest.
 
-    A series is one sorted tape in which instants are found by bisection; its bars are what one group holds."""
-    kinds = {f.name: f.dataType.simpleString() for f in bars.schema.fields}
-    d = decisions.select("bar_series_id", F.col("decision_ts").alias("_seen")).distinct()
-    b = bars.select("bar_series_id", F.col(clock).alias("_seen"), "bar_open_ts", "revision_no", *payload)
-    both = d.unionByName(b, allowMissingColumns=True)
-    schema = f"bar_series_id {kinds['bar_series_id']}, decision_ts {kinds[clock]}, rank int, bar_open_ts {kinds['bar_open_ts']}, revision_no {kinds['revision_no']}, " + ", ".join(f"{p} {kinds[p]}" for p in payload)
-    columns = ["bar_series_id", "decision_ts", "rank", "bar_open_ts", "revision_no", *payload]
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        asked = pdf["bar_open_ts"].isna()
-        held = pdf[~asked].rename(columns={"_seen": "effective_available_at"})
-        if held.empty or not asked.any():
-            return pd.DataFrame(columns=columns)
-        tape, out = Tape(held.itertuples(index=False)), []
-        for moment in pdf.loc[asked, "_seen"]:
-            for rank, b in enumerate(reversed(tape.newest(moment, n)), 1):
-                out.append((b.bar_series_id, moment, rank, b.bar_open_ts, int(b.revision_no), *[getattr(b, p) for p in payload]))
-        return pd.DataFrame(out, columns=columns)
-
-    return both.groupBy("bar_series_id").applyInPandas(one, schema)
+    A revision is visible from its own instant to the first one of a higher revision. Bars are numbered along a series; one
+    window counts those that a decision can see and finds the newest, and where it sees all up to that one its bars are
+    the last n numbers, an equal join of n rows a decision. Only decisions with a bar that is still to come meet all of
+    their series' bars. Rows with a null clock are never seen."""
+    series = Window.partitionBy("bar_series_id").orderBy("bar_open_ts")
+    higher = Window.partitionBy("bar_series_id", "bar_open_ts").orderBy(F.desc("revision_no")).rowsBetween(Window.unboundedPreceding, -1)
+    seen = bars.where(F.col(clock).isNotNull()).select("bar_series_id", "bar_open_ts", "revision_no", *payload, F.col(clock).alias("_from"))
+    spans = seen.withColumn("_until", F.min("_from").over(higher)).withColumn("_k", F.dense_rank().over(series))
+    spans = spans.where(F.col("_until").isNull() | (F.col("_until") > F.col("_from")))
+    first = spans.groupBy("bar_series_id", "_k").agg(F.min("_from").alias("_ts"))
+    asked = decisions.select("bar_series_id", F.col("decision_ts").alias("_ts")).distinct().withColumn("_asked", F.lit(True))
+    run = Window.partitionBy("bar_series_id").orderBy("_ts", F.col("_asked").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    both = first.unionByName(asked, allowMissingColumns=True).withColumn("_newest", F.max("_k").over(run)).withColumn("_seen", F.count("_k").over(run))
+    asked = both.where("_asked AND _seen > 0").select("bar_series_id", F.col("_ts").alias("decision_ts"), "_newest", "_seen")
+    visible = (F.col("_from") <= F.col("decision_ts")) & (F.col("_until").isNull() | (F.col("_until") > F.col("decision_ts")))
+    out = ["bar_series_id", "decision_ts", "rank", "bar_open_ts", "revision_no", *payload]
+    whole = asked.where("_seen = _newest").withColumn("_k", F.explode(F.sequence(F.greatest(F.lit(1), F.col("_newest") - (n - 1)), F.col("_newest"))))
+    plain = whole.join(spans, ["bar_series_id", "_k"]).where(visible).withColumn("rank", (F.col("_newest") - F.col("_k") + 1).cast("int"))
+    by = Window.partitionBy("bar_series_id", "decision_ts").orderBy(F.desc("bar_open_ts"))
+    rest = asked.where("_seen <> _newest").join(spans, "bar_series_id").where(visible).withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= n)
+    return plain.select(*out).unionByName(rest.select(*out))
 
 
 def next_execution_bar(orders: DataFrame, bars: DataFrame, clock: str, lag_seconds: Column) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from chronofold.operators import merge, sql_functions
+from chronofold.operators import merge, raw_events, sql_functions
 from chronofold.plans.catalogue import query
 from chronofold.plans.point_in_time import CUTOFF, FROM, SQL_CUTOFF, TO
 from chronofold.plans.views import BARS, bars, sql_ts, table, text_ts
@@ -37,3 +37,16 @@ def bars_as_of_sql(spark, d):
     sql_functions.register_bars_as_of(spark, bars(spark, d), "bars_known")
     got = spark.sql(f"SELECT * FROM bars_known(NULL, TIMESTAMP_NTZ '{FROM}', TIMESTAMP_NTZ '{TO}', TIMESTAMP_NTZ '{CUTOFF}', 'PUBLIC_REPLAY')")
     return got.select("bar_series_id", text_ts("bar_open_ts").alias("bar_open_ts"), "revision_no", "close_price")
+
+
+@query("raw_event_identical", """WITH e AS (SELECT event_id, user_id % 50 AS feed_id, CASE WHEN event_id % 31 <> 0 THEN '{"type":"' || event_type || '","level":' || CAST(floor(value / 5) AS BIGINT) || '}' END AS payload FROM events),
+    s AS (SELECT feed_id, payload, min(event_id) AS old FROM e WHERE event_id % 4 = 1 GROUP BY ALL),
+    n AS (SELECT *, min(event_id) OVER (PARTITION BY feed_id, payload) AS first FROM e WHERE event_id % 4 <> 1)
+    SELECT n.event_id, CASE WHEN n.payload IS NOT NULL THEN coalesce(s.old, CASE WHEN first < n.event_id THEN first END) END AS identical_to FROM n LEFT JOIN s ON s.feed_id = n.feed_id AND s.payload = n.payload""")
+def raw_event_identical(spark, d):
+    """Every event as a raw payload; a quarter is in the store, and which one each of the others repeats."""
+    level = F.floor(F.col("value") / 5).cast("bigint").cast("string")
+    payload = F.when(F.col("event_id") % 31 != 0, F.concat(F.lit('{"type":"'), F.col("event_type"), F.lit('","level":'), level, F.lit("}")))
+    e = table(spark, d, "events").select("event_id", (F.col("user_id") % 50).alias("feed_id"), payload.alias("payload"))
+    stored = e.where("event_id % 4 = 1").select("feed_id", raw_events.content(F.col("payload")).alias("content"), "event_id")
+    return raw_events.find_identical(stored, e.where("event_id % 4 <> 1"), ["feed_id"], "payload", "event_id").select("event_id", "identical_to")
