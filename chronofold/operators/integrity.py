@@ -27,9 +27,12 @@ def ohlc_violations(df: DataFrame, o: str = "open_price", h: str = "high_price",
     return df.withColumn("rules", F.array_join(broken, ",")).where("rules <> ''")
 
 
-def decision_violations(inputs: DataFrame, bars: DataFrame, bound: DataFrame, clock: str, cutoff: Column) -> DataFrame:
-    """Decision inputs of a series that their run does not bind, or that were not available by the decision and the cutoff."""
+def decision_violations(inputs: DataFrame, bars: DataFrame, bound: DataFrame, clock: str, cutoff: Column, role: str | None = None) -> DataFrame:
+    """Decision inputs of a series that their run does not bind (for the role, if one is named), or that were not available
+    by the decision and the cutoff."""
     keys = ["bar_series_id", "bar_open_ts", "revision_no"]
+    if role is not None:
+        bound = bound.where(F.col("series_role") == role).select("run_id", "bar_series_id").distinct()
     seen = inputs.join(bars.select(*keys, F.col(clock).alias("effective_at")), keys, "left").join(bound.withColumn("_bound", F.lit(True)), ["run_id", "bar_series_id"], "left")
     code = (
         F.when(F.col("effective_at").isNull(), "UNKNOWN_BAR").when(F.col("_bound").isNull(), "UNBOUND_SERIES")
@@ -54,6 +57,32 @@ def fill_violations(refs: DataFrame, sources: dict[str, DataFrame], cutoff: Colu
     return joined.withColumn("violation", code).where("violation IS NOT NULL").drop("_instrument")
 
 
+def fill_reference_violations(refs: DataFrame, fills: DataFrame, sources: dict[str, DataFrame], bound: DataFrame, runs: DataFrame) -> DataFrame:
+    """References of fills (run_id, fill_id, instrument_id, reference_type, source_id, bar_series_id) that break a rule; the first one counts.
+
+    fills: run_id, fill_id, instrument_id, fill_ts; a reference is of a fill of its own run and instrument. sources: type -> source_id,
+    instrument_id, effective_at, of which a reference names one exactly; MODEL names none. bound: run_id, bar_series_id, series_role;
+    a BAR is of a series that the run binds for EXECUTION. runs: run_id, cutoff."""
+    every = None
+    for kind, s in sources.items():
+        part = s.select(F.lit(kind).alias("reference_type"), "source_id", F.col("instrument_id").alias("_instrument"), "effective_at")
+        every = part if every is None else every.unionByName(part)
+    roles = bound.where("series_role = 'EXECUTION'").select("run_id", "bar_series_id").distinct().withColumn("_bound", F.lit(True))
+    own = fills.select("run_id", "fill_id", "instrument_id", "fill_ts")
+    joined = refs.join(own, ["run_id", "fill_id", "instrument_id"], "left").join(runs.select("run_id", "cutoff"), "run_id", "left").join(every, ["reference_type", "source_id"], "left").join(roles, ["run_id", "bar_series_id"], "left")
+    code = (
+        F.when(F.col("fill_ts").isNull(), "NO_FILL").when(F.col("reference_type") == "MODEL", F.when(F.col("source_id").isNotNull(), "MODEL_WITH_SOURCE"))
+        .when((F.col("reference_type") == "BAR") & F.col("_bound").isNull(), "UNBOUND_SERIES").when(F.col("effective_at").isNull(), "UNKNOWN_SOURCE")
+        .when(F.col("_instrument") != F.col("instrument_id"), "OTHER_INSTRUMENT").when(F.col("effective_at") > F.col("fill_ts"), "LOOK_AHEAD").when(F.col("effective_at") > F.col("cutoff"), "AFTER_CUTOFF")
+    )
+    return joined.withColumn("violation", code).where("violation IS NOT NULL").select(*refs.columns, "violation")
+
+
+def touched(changes: DataFrame, before: str, after: str, name: str) -> DataFrame:
+    """The keys that changes touch, once each: those that rows had and those that they have now."""
+    return changes.select(F.explode(F.array(before, after)).alias(name)).where(F.col(name).isNotNull()).distinct()
+
+
 def order_totals(orders: DataFrame, fills: DataFrame) -> DataFrame:
     """orders with filled_quantity (0 without a fill) and first_fill_ts."""
     totals = fills.groupBy("order_id").agg(F.sum("quantity").alias("filled_quantity"), F.min("fill_ts").alias("first_fill_ts"))

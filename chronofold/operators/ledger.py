@@ -61,3 +61,20 @@ def performance(df: DataFrame, keys: Sequence[str], ret: str, periods: int = 252
     year = F.sqrt(F.lit(float(periods)))
     ratio = lambda d: F.when(F.col(d) > 0, F.col("mean") / F.col(d) * year)
     return out.select(*keys, "n", (F.col("sd") * year).alias("volatility"), ratio("sd").alias("sharpe"), ratio("down").alias("sortino"))
+
+
+def trade_performance(trades: DataFrame, keys: Sequence[str], pnl: str = "pnl") -> DataFrame:
+    """Closed trades of each key: trades, wins, gained, lost, and the profit factor, null without a loss."""
+    gained, lost = F.sum(F.when(F.col(pnl) > 0, F.col(pnl)).otherwise(0)), F.sum(F.when(F.col(pnl) < 0, -F.col(pnl)).otherwise(0))
+    out = trades.groupBy(*keys).agg(F.count(F.lit(1)).alias("trades"), F.count_if(F.col(pnl) > 0).alias("wins"), gained.alias("gained"), lost.alias("lost"))
+    return out.withColumn("profit_factor", F.when(F.col("lost") > 0, F.col("gained").cast("double") / F.col("lost").cast("double")))
+
+
+def activity(fills: DataFrame, equity: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """turnover (notional traded over mean equity) and exposure (mean share of equity that is held) of each key.
+
+    fills: keys, notional; equity: keys, equity, held (a row a point in time)."""
+    traded = fills.groupBy(*keys).agg(F.sum(F.abs("notional")).alias("_traded"))
+    points = equity.groupBy(*keys).agg(F.avg(F.col("equity").cast("double")).alias("_mean"), F.avg(F.when(F.col("equity") != 0, F.col("held").cast("double") / F.col("equity").cast("double"))).alias("exposure"))
+    turnover = F.when(F.col("_mean") != 0, F.coalesce(F.col("_traded").cast("double"), F.lit(0.0)) / F.col("_mean"))
+    return points.join(traded, list(keys), "left").select(*keys, turnover.alias("turnover"), "exposure")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from chronofold.plans import backtests, catalogue, catalogues, data_quality, governance, point_in_time, storage, training  # noqa: F401
+from chronofold.plans import accounts, backtests, catalogue, catalogues, data_quality, governance, point_in_time, storage, training  # noqa: F401
 
 
 def queries() -> dict:
