@@ -85,24 +85,19 @@ def _bucket(word: Column) -> Column:
 def references(docs: DataFrame, text_col: str = "text", lang_col: str | None = "lang") -> DataFrame:
     """A row a language: lang, common (array of words), common_shares and class_shares (arrays of double); stored."""
     rows = docs.select(_lang(lang_col), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    rows = rows.select("lang", "t", _split_words(F.lower("t")).alias("w")).select("lang", "t", F.when(F.size("w") >= MIN_WORDS, F.col("w")).alias("w"))
-    weight = F.expr(f"{SCALE}L div size(w)")
-    # the first pass: weights by bucket, and with an empty word, of bucket -1, a document's classes, which need no pass of their own
-    sized = rows.select("lang", "w", F.when(F.col("w").isNotNull(), _rare(F.col("t"))).alias("rare"), F.length("t").cast("bigint").alias("chars"), F.length(F.array_join("w", "")).cast("bigint").alias("word_chars"))
-    shares = F.transform(_class_counts(F.col("rare"), F.col("chars"), F.col("word_chars")), lambda c: F.call_function("div", SCALE * c, F.col("chars")))
-    own = sized.select("lang", weight.alias("weight"), F.when(F.col("w").isNotNull(), shares).alias("c"), F.concat("w", F.array(F.lit(""))).alias("w"))
-    own = own.select("lang", "weight", "c", F.explode("w").alias("word")).withColumn("bucket", F.when(F.col("word") == "", -1).otherwise(_bucket(F.col("word"))))
-    first = own.groupBy("lang", "bucket").agg(F.sum("weight").alias("weight"), F.count(F.lit(1)).alias("n"), *[F.sum(F.when(F.col("bucket") < 0, F.get("c", k))).alias(f"c{k}") for k in range(len(CLASSES) + 3)])
-    first = store(first, "buckets")
-    class_sums = [F.col(f"c{k}") for k in range(len(CLASSES) + 3)]
-    total = sum(class_sums[1:], class_sums[0])
-    langs = first.where("bucket < 0").select("lang", F.col("n").alias("docs"), F.array(*[c / total for c in class_sums]).alias("class_shares"))
-    langs = langs.where(F.col("docs") >= MIN_DOCS).join(first.where("bucket >= 0").groupBy("lang").agg(F.sum("weight").alias("all")), "lang")
-    langs = store(langs.select("lang", "all", "class_shares"), "languages")
-    heavy = first.where("bucket >= 0").join(langs.select("lang", "all"), "lang").where(F.col("weight") >= LEAST_SHARE * F.col("all"))
-    heavy = store(heavy.select("lang", "bucket"), "heavy")  # so that Spark knows its size before it joins
-    words = rows.select("lang", "w", weight.alias("weight")).select("lang", "weight", F.explode("w").alias("word"))
-    bucket = _bucket(F.col("word"))
+    per_class = [F.expr(f"{SCALE}L * classes[{k}] div chars") for k in range(len(CLASSES) + 3)]
+    enough = F.col("n") >= MIN_WORDS
+    sums = rows.select("lang", "t", _split_words(F.col("t")).alias("w")).select("lang", *_sizes(), _rare(F.col("t")).alias("rare"))
+    sums = sums.select("lang", "n", "chars", _class_counts(F.col("rare"), F.col("chars"), F.col("word_chars")).alias("classes"))
+    sums = sums.select("lang", enough.alias("enough"), F.when(enough, F.expr(f"n * ({SCALE}L div n)")).alias("weight"), *[F.when(enough, c).alias(f"c{k}") for k, c in enumerate(per_class)])
+    sums = sums.groupBy("lang").agg(F.count_if("enough").alias("docs"), F.sum("weight").alias("all"), *[F.sum(f"c{k}").alias(f"c{k}") for k in range(len(per_class))])
+    total = sum((F.col(f"c{k}") for k in range(1, len(per_class))), F.col("c0"))
+    langs = store(sums.where(F.col("docs") >= MIN_DOCS).select("lang", "all", F.array(*[F.col(f"c{k}") / total for k in range(len(per_class))]).alias("class_shares")), "languages")
+    words = rows.select("lang", _split_words(F.lower("t")).alias("w"))
+    words = words.select("lang", F.expr(f"{SCALE}L div nullif(size(w), 0)").alias("weight"), F.explode(F.when(F.size("w") >= MIN_WORDS, F.col("w"))).alias("word"))
+    bucket = _bucket(F.col("word")).alias("bucket")
+    heavy = words.groupBy("lang", bucket).agg(F.sum("weight").alias("weight")).join(langs.select("lang", "all"), "lang").where(F.col("weight") >= LEAST_SHARE * F.col("all"))
+    heavy = store(heavy.select("lang", "bucket"), "buckets")  # so that Spark knows its size before it joins
     found = words.withColumn("bucket", bucket).join(heavy, ["lang", "bucket"], "left_semi").groupBy("lang", "word").agg(F.sum("weight").alias("weight"))
     found = found.join(langs.select("lang", "all"), "lang").where((F.col("weight") >= LEAST_SHARE * F.col("all")) & F.col("word").rlike(r"\p{L}"))
     top = found.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("weight"), "word"))).where(F.col("rank") <= COMMON)
@@ -134,13 +129,19 @@ def _place(word: Column) -> Column:
 
 
 def _windows() -> Column:
-    """A hash of each run of WIDTH (five) words: of two words, of two such pairs, and of that and the fifth. zip_with walks
-    both arrays once; slices of words at each place would copy the array each time."""
+    """A hash of each run of WIDTH (five) words of a text that may repeat one, else nothing.
+
+    zip_with walks two arrays once; slices of words at each place would copy the array each time. Most texts repeat not
+    even the first two and last two words of a window, which two walks tell; only the others' windows are hashed whole:
+    two words, two such pairs, and that with the fifth."""
     pairs = lambda a, b: F.zip_with(a, b, lambda x, y: F.xxhash64(x, y))
     from_ = lambda a, k: F.slice(a, F.lit(k + 1), F.greatest(F.size(a) - k, F.lit(0)))
     upto = lambda a, k: F.slice(a, F.lit(1), F.greatest(F.size(a) - k, F.lit(0)))
     w = F.col("w")
-    return _let(_let(pairs(upto(w, 1), from_(w, 1)), lambda p: pairs(upto(p, 2), from_(p, 2))), lambda q: pairs(upto(q, 1), from_(w, 4)))
+    whole = lambda p: _let(pairs(upto(p, 2), from_(p, 2)), lambda q: pairs(upto(q, 1), from_(w, 4)))
+    none = F.array().cast("array<bigint>")
+    may = lambda p: _let(pairs(upto(p, 3), from_(p, 3)), lambda e: F.size(F.array_distinct(e)) < F.size(e))
+    return _let(pairs(upto(w, 1), from_(w, 1)), lambda p: F.when(may(p), whole(p)).otherwise(none))
 
 
 def _repeated() -> Column:
@@ -160,12 +161,12 @@ def _covered() -> Column:
 def _judged(docs: DataFrame, row: Column, text_col: str, lang_col: str | None, reference: DataFrame | None) -> DataFrame:
     """Steps of which each drops what the next does not read, as every step writes its columns anew."""
     reference = references(docs, text_col, lang_col) if reference is None else reference
-    reference = store(reference.withColumn("places", _buckets("common")), "places")
+    reference = store(reference.withColumn("places", _buckets("common")).withColumn("longest", F.array_max(F.transform("common", F.octet_length))), "places")
     n = F.col("n").cast("double")
     rows = docs.select(row.alias("row"), _lang(lang_col), F.coalesce(F.col(text_col), F.lit("")).alias("t"), _split_words(F.coalesce(F.col(text_col), F.lit(""))).alias("w"))
     own = ["row", "n", "word_chars", "chars", "common", "common_shares", "class_shares"]
     lines = F.filter(F.split("t", "\n"), lambda x: F.length(F.trim(x, F.lit(BLANKS))) > 0)
-    hits = F.filter(_split_words(F.lower("t")), lambda x: F.array_contains(F.get("places", _place(x)), x))
+    hits = F.filter(_split_words(F.lower("t")), lambda x: (F.octet_length(x) <= F.col("longest")) & F.array_contains(F.get("places", _place(x)), x))
     judged = F.col("class_shares").isNotNull() & (F.size("w") >= MIN_WORDS)
     out = rows.join(reference, "lang", "left").select(
         "row", *_sizes(), "common", "common_shares", "class_shares", judged.alias("judged"), _rare(F.col("t")).alias("rare"), _windows().alias("windows"),
