@@ -91,3 +91,43 @@ def test_the_read_as_a_function_of_sql(spark, tmp_path):
     with pytest.raises(ValueError):
         sql_functions.register_bars_as_of(spark, bars, "x; DROP")
     assert spark.sql(f"SELECT count(*) AS n FROM range(3) q, LATERAL bars_as_of(NULL, TIMESTAMP_NTZ '{since}', TIMESTAMP_NTZ '{until}', TIMESTAMP_NTZ '{cutoff}', 'PUBLIC_REPLAY')").first().n == 3 * pit.bars_as_of(bars, None, since, until, cutoff, pit.PUBLIC).count()
+
+
+def manifest(**change):
+    instrument = {"stable_key": "i1", "provider_code": "p", "provider_symbol": "  ك۱ ", "isin": "ir0000000001", "name_fa": "x", "name_en": "y", "asset_type_code": "EQ", "venue_code": "V", "currency_code": "IRR", "status": "ACTIVE", "identifier_valid_from": "2030-01-01T00:00:00Z", "spec_effective_from": "2030-01-01T00:00:00Z", "contract_multiplier": "1"}
+    got = {
+        "schema_version": 1, "manifest_id": "m", "generated_at": "2030-01-01T00:00:00Z", "source": "s", "providers": [{"provider_code": "p", "display_name": "P", "provider_kind": "VENDOR", "metadata": {}}], "feeds": [],
+        "currencies": [{"currency_code": "IRR", "display_name": "Rial", "minor_unit": 0, "is_fiat": True}], "asset_types": [{"asset_type_code": "EQ", "display_name": "Equity"}],
+        "venues": [{"venue_code": "V", "display_name": "V", "timezone_name": "Asia/Tehran", "base_currency_code": "IRR"}], "timeframes": [{"timeframe_code": "1d", "display_name": "day", "calendar_unit": "SESSION", "session_aligned": True}],
+        "provider_market_mappings": [], "instruments": [{**instrument, **change.pop("instrument", {})}],
+    }
+    return json.dumps({**got, **change}).encode()
+
+
+def test_a_manifest_is_merged_into_the_catalogue(spark, tmp_path):
+    from chronofold.sources import catalog_manifest as cm
+
+    name, rows = cm.parse(manifest())
+    assert name == "m" and rows["instruments"][0]["isin"] == "IR0000000001" and rows["instruments"][0]["provider_symbol"] == "ک1"
+    store = CatalogStore(spark, f"file://{tmp_path}/c", cm.TABLES, cm.SCHEMAS)
+    counts = store.publish(name, cm.frames(spark, rows))
+    assert counts == {f"{s} INSERTED": 1 for s in ("providers", "currencies", "asset_types", "timeframes", "venues", "instruments")}
+    assert str(store.read("instruments").first().contract_multiplier).startswith("1.0")
+    with pytest.raises(Conflict, match="MISSING_PARENT"):
+        store.publish("m2", cm.frames(spark, cm.parse(manifest(instrument={"stable_key": "i2", "isin": "IR0000000002", "venue_code": "W"}))[1]))
+    assert store.read("instruments").count() == 1
+
+
+@pytest.mark.parametrize(
+    "change",
+    [
+        {"schema_version": 2}, {"more": 1}, {"feeds": {}}, {"instrument": {"isin": "BAD"}}, {"instrument": {"contract_multiplier": "0"}}, {"instrument": {"contract_multiplier": 1}}, {"instrument": {"previous_symbol": "x"}}, {"instrument": {"name_en": "a\nb"}},
+        {"instrument": {"lower_price_limit": "2", "upper_price_limit": "1"}}, {"instrument": {"unknown": 1}}, {"timeframes": [{"timeframe_code": "1m", "display_name": "m", "calendar_unit": "FIXED", "session_aligned": False}]}, {"currencies": [{"currency_code": "A", "display_name": "a", "minor_unit": True, "is_fiat": True}]},
+    ],
+)
+def test_bad_manifests_are_refused(change):
+    from chronofold.errors import ContractError
+    from chronofold.sources import catalog_manifest as cm
+
+    with pytest.raises(ContractError):
+        cm.parse(manifest(**change))
