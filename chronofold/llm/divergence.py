@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronofold.llm.session import store
+from chronofold.llm.session import forget, store
 
 BLANKS = " \t\n\v\f\r"
 #: Base rules.
@@ -103,7 +103,9 @@ def references(docs: DataFrame, text_col: str = "text", lang_col: str | None = "
     top = found.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("weight"), "word"))).where(F.col("rank") <= COMMON)
     common = top.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("rank", "word", (F.col("weight") / F.col("all")).alias("share")))).alias("top"))
     out = langs.join(common, "lang", "left").select("lang", "class_shares", F.coalesce(F.col("top.word"), F.array().cast("array<string>")).alias("common"), F.coalesce(F.col("top.share"), F.array().cast("array<double>")).alias("common_shares"))
-    return store(out, "references")
+    out = store(out, "references")
+    forget(langs, heavy)
+    return out
 
 
 def _distance(p: Column, q: Column) -> Column:
@@ -165,7 +167,7 @@ def _judged(docs: DataFrame, row: Column, text_col: str, lang_col: str | None, r
     n = F.col("n").cast("double")
     rows = docs.select(row.alias("row"), _lang(lang_col), F.coalesce(F.col(text_col), F.lit("")).alias("t"), _split_words(F.coalesce(F.col(text_col), F.lit(""))).alias("w"))
     own = ["row", "n", "word_chars", "chars", "common", "common_shares", "class_shares"]
-    lines = F.filter(F.split("t", "\n"), lambda x: F.length(F.trim(x, F.lit(BLANKS))) > 0)
+    lines = F.filter(F.split("t", "\n"), lambda x: F.octet_length(F.ltrim(x, F.lit(BLANKS))) > 0)
     hits = F.filter(_split_words(F.lower("t")), lambda x: (F.octet_length(x) <= F.col("longest")) & F.array_contains(F.get("places", _place(x)), x))
     judged = F.col("class_shares").isNotNull() & (F.size("w") >= MIN_WORDS)
     out = rows.join(reference, "lang", "left").select(
