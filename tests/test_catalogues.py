@@ -131,3 +131,16 @@ def test_bad_manifests_are_refused(change):
 
     with pytest.raises(ContractError):
         cm.parse(manifest(**change))
+
+
+def test_catalogue_commands(spark, tmp_path, capsys):
+    from chronofold import cli
+
+    say = lambda *a: (cli.main(["--json", *a]), json.loads(capsys.readouterr().out))
+    (tmp_path / "m.json").write_bytes(manifest())
+    (tmp_path / "bad.json").write_bytes(manifest(instrument={"isin": "https://x.example?key=SECRET"}))
+    assert say("catalogue", "validate", str(tmp_path / "m.json"))[1]["instruments"] == 1
+    assert say("catalogue", "publish", str(tmp_path / "m.json"), "--store", str(tmp_path / "c"))[1]["instruments INSERTED"] == 1
+    assert say("catalogue", "publish", str(tmp_path / "m.json"), "--store", str(tmp_path / "c"))[1]["instruments INSERTED"] == 1
+    code, out = say("catalogue", "validate", str(tmp_path / "bad.json"))
+    assert code == 2 and "SECRET" not in out["error"]

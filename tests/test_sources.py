@@ -95,6 +95,21 @@ def test_commands(bars, tmp_path, capsys):
     assert say("snapshot", "verify", "daily", "--store", store)[0] == 5
 
 
+def test_a_command_runs_a_backtest_once(spark, bars, tmp_path, capsys):
+    (tmp_path / "s.json").write_bytes(manifest())
+    (tmp_path / "r.json").write_text(json.dumps(RUN))
+    bars.write.parquet(str(tmp_path / "bars"))
+    store, at = str(tmp_path / "store"), str(tmp_path / "journals")
+    say = lambda *a: (cli.main(["--json", *a]), json.loads(capsys.readouterr().out))
+    assert say("snapshot", "build", str(tmp_path / "s.json"), "--store", store, "--bars", str(tmp_path / "bars"))[0] == 0
+    first = say("backtest", "run", str(tmp_path / "r.json"), "--store", store, "--journals", at)
+    assert first[0] == 0 and spark.read.parquet(at).where("journal = 'equity'").count() > 0
+    assert say("backtest", "run", str(tmp_path / "r.json"), "--store", store, "--journals", at) == first  # the journals are not written again
+    (tmp_path / "r.json").write_text(json.dumps({**RUN, "initial_capital": "77777"}))
+    code, out = say("backtest", "run", str(tmp_path / "r.json"), "--store", store)
+    assert code == 4 and out["code"] == "23505"
+
+
 def calendar(**change):
     sessions = [{"trading_date": f"2030-01-0{k}", "session_code": "REGULAR", "is_trading_day": k != 2, "open_local_time": "09:00" if k != 2 else None, "close_local_time": "12:30" if k != 2 else None, "source_status": "x"} for k in (1, 2, 3)]
     return json.dumps({"schema_version": 1, "calendar_id": "c", "venue_code": "TSE", "timezone": "Asia/Tehran", "date_from": "2030-01-01", "date_to": "2030-01-03", "sessions": sessions, **change}).encode()
