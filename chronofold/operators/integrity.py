@@ -155,10 +155,19 @@ def batch_count_violations(batches: DataFrame) -> DataFrame:
     return batches.withColumn("violation", code).where("violation IS NOT NULL")
 
 
-def sequence_gaps(df: DataFrame, keys: Sequence[str], sequence: str) -> DataFrame:
-    """keys, after and before: the ends of each gap in a key's sequence numbers."""
-    by = Window.partitionBy(*keys).orderBy(sequence)
-    return df.select(*keys, F.lag(sequence).over(by).alias("after"), F.col(sequence).alias("before")).where("before > after + 1")
+def sequence_gaps(df: DataFrame, keys: Sequence[str], sequence: str, width: int | None = None) -> DataFrame:
+    """keys, after and before: the ends of each gap in a key's sequence numbers.
+
+    With a width a key's whole numbers are dealt by stretches of so many, and what lies between two stretches is found from their ends: for
+    a key, or no key at all, that holds a whole table."""
+    if width is None:
+        by = Window.partitionBy(*keys).orderBy(sequence)
+        return df.select(*keys, F.lag(sequence).over(by).alias("after"), F.col(sequence).alias("before")).where("before > after + 1")
+    dealt = df.select(*keys, sequence, F.expr(f"`{sequence}` div {width}").alias("_stretch"))
+    inside = sequence_gaps(dealt, [*keys, "_stretch"], sequence).drop("_stretch")
+    ends = dealt.groupBy(*keys, "_stretch").agg(F.min(sequence).alias("before"), F.max(sequence).alias("_last"))
+    between = ends.select(*keys, F.lag("_last").over(Window.partitionBy(*keys).orderBy("_stretch")).alias("after"), "before").where("before > after + 1")
+    return inside.unionByName(between)
 
 
 def outside_session(df: DataFrame, calendar: DataFrame, day: str, ts: str) -> DataFrame:

@@ -4,6 +4,7 @@ from datetime import datetime, timedelta
 
 import pytest
 
+from chronofold.operators import integrity
 from chronofold.plans import governance
 
 
@@ -19,3 +20,18 @@ def events(spark, tmp_path_factory):
 def test_provider_rows_are_parsed_once(spark, events, name):
     plan = getattr(governance, name)(spark, events)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("parseJson") == 1
+
+
+def test_gates_read_the_sequence_of_all_events():
+    assert "FROM events) WHERE b > a + 1" in governance.GATES["continuous_sequence"] and "%" not in governance.GATES["continuous_sequence"]
+    assert "conversations" in governance.GATES["continuous_turns"]
+
+
+@pytest.mark.parametrize("width", [1, 4, 7, 1000])
+def test_gaps_of_one_long_sequence_equal_those_of_one_group(spark, width):
+    numbers = [None, -30, -9, -8, -1, 0, 1, 1, 2, 5, 6, 7, 8, 12, 12, 13, 28, 29, 500]
+    df = spark.createDataFrame([(k, n) for k in ("a", "b") for n in numbers if k == "a" or n is None or n % 3], "k string, n bigint")
+    rows = lambda found: sorted(map(tuple, found.collect()))
+    want = rows(integrity.sequence_gaps(df, ["k"], "n"))
+    assert rows(integrity.sequence_gaps(df, ["k"], "n", width)) == want and ("a", 29, 500) in want
+    assert rows(integrity.sequence_gaps(df.where("k = 'a'"), [], "n", width)) == [r[1:] for r in want if r[0] == "a"]
