@@ -1,10 +1,13 @@
 """What keeps a query's work in step with its input."""
 
-from datetime import datetime, timedelta
+import json
+from datetime import datetime, timedelta, timezone
+from decimal import Decimal
 
 import pytest
 
-from chronofold.operators import integrity
+from chronofold.functions import canonical
+from chronofold.operators import backtest, integrity
 from chronofold.plans import governance
 
 
@@ -35,3 +38,41 @@ def test_gaps_of_one_long_sequence_equal_those_of_one_group(spark, width):
     want = rows(integrity.sequence_gaps(df, ["k"], "n"))
     assert rows(integrity.sequence_gaps(df, ["k"], "n", width)) == want and ("a", 29, 500) in want
     assert rows(integrity.sequence_gaps(df.where("k = 'a'"), [], "n", width)) == [r[1:] for r in want if r[0] == "a"]
+
+
+T0 = datetime(2030, 1, 1, tzinfo=timezone.utc)
+DAY = timedelta(days=1)
+
+
+def sweep(n):
+    bars = [backtest.Bar(T0 + k * DAY, 7, 1, T0 + (k + 1) * DAY, T0 + (k + 1) * DAY, Decimal(10 + k * k % 7)) for k in range(n)]
+    spec = backtest.Spec("a", T0, T0 + n * DAY, Decimal(1000), 3, 8, Decimal(10), backtest.Costs(Decimal(5)), (backtest.Instrument(1),))
+    return spec, {1: backtest.one_tape(bars)}
+
+
+def test_a_run_writes_each_bar_once(monkeypatch):
+    """A decision names up to 8 bars and is written into two texts: with each bar's text written anew that is some 20 objects a decision."""
+    written, plain = [], canonical._object
+    monkeypatch.setattr(canonical, "_object", lambda v, form: written.append(1) or plain(v, form))
+    spec, tapes = sweep(100)
+    r = backtest.simulate(spec, tapes)
+    backtest.journal(spec, r)
+    assert len(r.decisions) == 99 and len(written) < 10 * len(r.decisions)
+
+
+def test_some_kinds_of_journals_are_those_of_all():
+    spec, tapes = sweep(60)
+    every = backtest.journal(spec, backtest.simulate(spec, tapes))
+    assert {r[1] for r in every} == set(backtest.JOURNALS) - {"failed", "position"}
+    for kinds in (("fill",), ("equity", "summary", "failed"), ("decision", "order"), ("signal", "valuation")):
+        got = backtest.journal(spec, backtest.simulate(spec, tapes, hashed=not backtest.HASHED.isdisjoint(kinds)), kinds)
+        assert got == [r for r in every if r[1] in kinds] and got
+
+
+def test_known_text_is_that_of_a_plain_mapping():
+    inner = {"b": Decimal("1.50"), "a": [T0, None, True, 1, "\"\n\u06f1"], "c": Decimal("-0.0")}
+    known = canonical.Known(inner)
+    for _ in range(2):
+        assert canonical.snapshot_bytes({"x": [known, known]}) == canonical.snapshot_bytes({"x": [inner, inner]})
+    assert json.loads(canonical.snapshot_bytes(known)) == {"a": ["2030-01-01T00:00:00Z", None, True, 1, "\"\n\u06f1"], "b": "1.5", "c": "0"}
+    assert canonical.row_bytes({"d": known["b"]}) == b'{"d":1.5}' and canonical.storage_bytes({"d": known["b"]}) == b'{"d":1.50}'
