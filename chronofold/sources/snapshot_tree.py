@@ -72,11 +72,11 @@ class SnapshotTree:
 
     @staticmethod
     def _eligible(components: DataFrame, bars: DataFrame, cutoff: datetime, mode: str) -> DataFrame:
-        """Lines of all components, from one read of bars: every revision that was knowable at the cutoff."""
+        """Bars of all components, from one read: every revision that was knowable at the cutoff."""
         known = pit.knowable(bars, mode, pit.at(cutoff)).withColumn("effective_available_at", F.col(pit.clock(mode)))
         c = components.select("component_key", F.col("bar_series_id").alias("_series"), "event_from", "event_to")
         inside = (F.col("bar_series_id") == F.col("_series")) & (F.col("bar_open_ts") >= F.col("event_from")) & (F.col("bar_open_ts") < F.col("event_to"))
-        return _stamped(known.join(c, inside).select("component_key", *known.columns))
+        return known.join(c, inside).select("component_key", *known.columns)
 
     def build(self, code: str, components: DataFrame, bars: DataFrame, cutoff: datetime, mode: str) -> dict:
         """What is frozen under the code: made now, or before with the same specification; another one, or a build that goes on, is a conflict.
@@ -91,8 +91,9 @@ class SnapshotTree:
             raise Conflict(f"{code} is {entry['state']}")
         folder = f"{self.root}/data/{uuid.uuid4().hex}"
         try:
-            lines = self._eligible(own, bars, cutoff, mode)
-            lines.repartitionByRange(*ORDER).sortWithinPartitions(*ORDER).write.parquet(f"{folder}/lines")
+            # dealt before they become lines: what finds the ranges reads all rows once more, and lines are the greater part of the work
+            dealt = self._eligible(own, bars, cutoff, mode).repartitionByRange(*ORDER).sortWithinPartitions(*ORDER)
+            _stamped(dealt).write.parquet(f"{folder}/lines")
             summed = roots(leaves(self._lines(folder)))
             own.join(summed, "component_key", "left").withColumn("row_count", F.coalesce("row_count", F.lit(0))).write.parquet(f"{folder}/components")
             frozen = self._components(folder)
@@ -145,7 +146,7 @@ class SnapshotTree:
     def drift(self, code: str, bars: DataFrame) -> DataFrame:
         """component_key, day and change (ADDED, GONE, CHANGED) of the days on which bars would give other lines now."""
         m = self.manifest(code)
-        live = self._eligible(self._components(m["folder"]), bars, datetime.fromisoformat(m["cutoff"]), m["mode"])
+        live = _stamped(self._eligible(self._components(m["folder"]), bars, datetime.fromisoformat(m["cutoff"]), m["mode"]))
         now = leaves(live).select("component_key", "day", F.col("sha256").alias("now"))
         held = leaves(self._lines(m["folder"])).select("component_key", "day", F.col("sha256").alias("held"))
         change = F.when(F.col("held").isNull(), "ADDED").when(F.col("now").isNull(), "GONE").when(F.col("held") != F.col("now"), "CHANGED")

@@ -25,11 +25,16 @@ STATES = ("BUILDING", "FROZEN", "FAILED")
 
 
 def line_fields(bars: DataFrame) -> dict:
-    """bars' columns as JSON text. Decimals and timestamps are text."""
+    """bars' columns as JSON text. Decimals and timestamps are text, of characters that need no escape."""
+    bare = lambda *parts: F.concat(F.lit('"'), *parts, F.lit('"'))
+    trimmed = lambda text: F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))
 
     def stamp(c: str):
-        text = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-        return canonical.quoted(F.concat(F.regexp_replace(F.regexp_replace(text, r"(\.\d*?)0+$", "$1"), r"\.$", ""), F.lit("Z")))
+        return bare(trimmed(F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")), F.lit("Z"))
+
+    def decimal(c, scale: int):
+        # cast() never writes an exponent for up to six places
+        return bare(trimmed(c.cast("string")) if 0 < scale <= 6 else canonical.plain_column(c))
 
     fields = {}
     for f in bars.schema.fields:
@@ -38,7 +43,7 @@ def line_fields(bars: DataFrame) -> dict:
         if kind.startswith("timestamp"):
             fields[f.name] = stamp(f.name)
         elif kind == "decimal":
-            fields[f.name] = canonical.quoted(canonical.plain_column(c))
+            fields[f.name] = decimal(c, f.dataType.scale)
         elif kind in ("string", "date"):
             fields[f.name] = canonical.quoted(c.cast("string"))
         else:

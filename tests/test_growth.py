@@ -9,6 +9,7 @@ import pytest
 from chronofold.functions import canonical
 from chronofold.operators import backtest, integrity
 from chronofold.plans import governance
+from chronofold.sources import snapshot_tree, snapshots
 
 
 @pytest.fixture(scope="module")
@@ -76,3 +77,24 @@ def test_known_text_is_that_of_a_plain_mapping():
         assert canonical.snapshot_bytes({"x": [known, known]}) == canonical.snapshot_bytes({"x": [inner, inner]})
     assert json.loads(canonical.snapshot_bytes(known)) == {"a": ["2030-01-01T00:00:00Z", None, True, 1, "\"\n\u06f1"], "b": "1.5", "c": "0"}
     assert canonical.row_bytes({"d": known["b"]}) == b'{"d":1.5}' and canonical.storage_bytes({"d": known["b"]}) == b'{"d":1.50}'
+
+
+def test_a_snapshot_deals_its_bars_before_they_become_lines(spark, tmp_path, monkeypatch):
+    plans, stamped = [], snapshot_tree._stamped
+    monkeypatch.setattr(snapshot_tree, "_stamped", lambda bars: plans.append(bars._jdf.queryExecution().optimizedPlan().toString()) or stamped(bars))
+    bars = spark.createDataFrame([(1, datetime(2030, 1, k), datetime(2030, 1, k + 1), 1, True, datetime(2030, 1, k + 1), datetime(2030, 1, k + 1), Decimal(k)) for k in range(1, 9)], "bar_series_id bigint, bar_open_ts timestamp_ntz, bar_close_ts timestamp_ntz, revision_no bigint, is_final boolean, available_at timestamp_ntz, system_available_at timestamp_ntz, close_price decimal(18,2)")
+    parts = spark.createDataFrame([("a", 1, datetime(2030, 1, 1), datetime(2030, 2, 1), False)], "component_key string, bar_series_id bigint, event_from timestamp_ntz, event_to timestamp_ntz, allow_empty boolean")
+    store = snapshot_tree.SnapshotTree(spark, f"file://{tmp_path}/s")
+    assert store.build("x", parts, bars, datetime(2030, 1, 20), "PUBLIC_REPLAY")["row_count"] == 8
+    assert plans and "RepartitionByExpression" in plans[0]
+    assert store.drift("x", bars).count() == 0 and store.drift("x", bars.where("revision_no = 1 AND bar_open_ts <> TIMESTAMP_NTZ'2030-01-03'")).collect()[0].change == "GONE"
+
+
+@pytest.mark.parametrize("scale", [0, 1, 2, 6, 7, 18])
+def test_lines_are_the_bytes_of_the_snapshot_form(spark, scale):
+    numbers = [Decimal(n).scaleb(-scale) for n in (0, 1, -1, 10, 100, -1500, 120000, 1000000, 99999999)]
+    stamps = [datetime(2024, 1, 1), datetime(2024, 1, 1, 0, 0, 10), datetime(2024, 10, 20, 10, 0, 0, 1), datetime(1999, 12, 31, 23, 59, 59, 100000)]
+    rows = [(i, n, stamps[i % 4]) for i, n in enumerate(numbers)] + [(99, None, None)]
+    df = spark.createDataFrame(rows, f"i int, d decimal(28,{scale}), t timestamp_ntz")
+    got = [r[0] for r in df.select(canonical.json_object(snapshots.line_fields(df)).alias("l"), "i").orderBy("i").collect()]
+    assert got == [canonical.snapshot_bytes({"i": i, "d": n, "t": t and t.replace(tzinfo=timezone.utc)}).decode() for i, n, t in rows]
